@@ -157,7 +157,7 @@ def mix(docs: DataFrame, labelled: DataFrame, labels: DataFrame, domain: Column,
 def keep_mixed(docs: DataFrame, labels: DataFrame, domain: Column, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``docs`` that the mixture takes, with all their columns; rows with a null id stay."""
     dropped = mix(docs, docs, labels, domain, targets, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias("_dropped"))
-    return docs.join(dropped, docs[id_col] == F.col("_dropped"), "left_anti")
+    return docs.join(dropped, docs[id_col] == dropped["_dropped"], "left_anti")
 
 
 #: Domains of the labels table, and the token shares that the mixture should have.

@@ -275,4 +275,4 @@ def keep_identified(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     """``docs`` without those in no known language: ``und``, or above ``REJECT_BITS`` in all."""
     found = identify(docs, model, id_col, text_col)
     rejected = found.where((F.col("lang_pred") == UNDETERMINED) | (F.col("bits_per_byte") > REJECT_BITS)).select(F.col(id_col).alias("_rejected"))
-    return docs.join(rejected, docs[id_col] == F.col("_rejected"), "left_anti")
+    return docs.join(rejected, docs[id_col] == rejected["_rejected"], "left_anti")

@@ -185,4 +185,4 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows with a null id stay, as do all rows that share the smallest id.
     """
     extra = simhash_groups(docs, id_col, text_col, radius).where(F.col(id_col) != F.col("component")).select(F.col(id_col).alias("_extra"))
-    return docs.join(extra, docs[id_col] == F.col("_extra"), "left_anti")
+    return docs.join(extra, docs[id_col] == extra["_extra"], "left_anti")
