@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .runtime import materialize, open_shared, scratch
 from .token_counts import vocabulary
-from .word_tokens import WordTokenizer
+from .word_tokens import shared_tokenizer
 
 MAX_BITS = 16
 STRIDE = 512
@@ -146,7 +146,7 @@ def encode_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, before, part = WordTokenizer(path or vocabulary()), 0, TaskContext.get().partitionId()
+        encoder, before, part = shared_tokenizer(path or vocabulary()), 0, TaskContext.get().partitionId()
         end = b"" if end_id is None else end_id.to_bytes(4, "little")
         for batch in batches:
             rows, size = ([], [], [], []), 0

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .word_tokens import WordTokenizer
+from .word_tokens import shared_tokenizer
 
 LIMIT = 2048
 
@@ -28,7 +28,7 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordTokenizer(path or vocabulary())
+        encoder = shared_tokenizer(path or vocabulary())
         for batch in batches:
             totals, cuts = [], []
             for text in batch.column(2):

@@ -19,15 +19,17 @@ from __future__ import annotations
 
 from array import array
 from bisect import bisect_right
+from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
 import regex
 
-MAX_WORDS = 150_000
+MAX_WORDS = 350_000
 
 # The pre-tokenizer's pattern in the vocabulary file, and the special tokens' mark.
-PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# White space is spelled out as the library's engine has it.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\t-\r \x85\p{Z}\p{L}\p{N}]+"
 SPECIAL = "<|"
 
 
@@ -38,6 +40,23 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b if b in kept else next(spare)) for b in range(256)}
 
 
+class Words(dict):
+    """Known words; one that is missing is taken from the previous generation or computed."""
+
+    def __init__(self, encoder: WordTokenizer, older: dict[str, bytes]):
+        super().__init__()
+        self.encoder, self.older = encoder, older
+        if isinstance(older, Words):
+            older.older = {}
+
+    def __missing__(self, w: str) -> bytes:
+        ids = self.older.get(w)
+        if ids is None:
+            ids = self.encoder.word(w)
+        self[w] = ids
+        return ids
+
+
 class WordTokenizer:
     """Encoder with a bounded word table around a ``tokenizers`` file; results equal the library's."""
 
@@ -49,8 +68,7 @@ class WordTokenizer:
         self.tokenizer.no_padding()
         self.model, self.normalizer = self.tokenizer.model, self.tokenizer.normalizer
         self.find, self.alphabet, self.max_words = regex.compile(PIECES).findall, byte_alphabet(), max_words
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.words = Words(self, {})
         self.pieces: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
@@ -65,36 +83,23 @@ class WordTokenizer:
             self.pieces[piece] = ids
         return ids
 
-    def _learn(self, words: set[str]) -> None:
-        """Put the ids of ``words`` into the table."""
-        table, plain = self.words, []
-        for w in words:
-            ids = self.older.get(w)
-            if ids is not None:
-                table[w] = ids
-            elif SPECIAL in w:
-                table[w] = self._whole(w)
-            else:
-                plain.append(w)
-        for at in range(0, len(plain), 4096):
-            part = plain[at : at + 4096]
-            normal = self.normalizer.normalize_str(" ".join(part)).split(" ")
-            if len(normal) != len(part):  # white space other than blanks inside words
-                normal = [self.normalizer.normalize_str(w) for w in part]
-            for w, n in zip(part, normal):
-                table[w] = b"".join([self._piece(p) for p in self.find(n)])
+    def word(self, w: str) -> bytes:
+        """Ids of one word, computed."""
+        if SPECIAL in w:
+            return self._whole(w)
+        if w.isascii():  # nothing to compose; upper case is all there is to normalize
+            normal = w.lower()
+            if normal.isalpha():
+                return self._piece(normal)
+        else:
+            normal = self.normalizer.normalize_str(w)
+        return b"".join([self._piece(p) for p in self.find(normal)])
 
     def encode_words(self, text: str) -> list[bytes]:
         """Ids (little-endian uint32 bytes) of each word of ``text`` in turn; words end at blank, newline, tab."""
-        words = text.replace("\n", " ").replace("\t", " ").split(" ")
-        table = self.words
-        new = {w for w in words if w not in table}
-        if new:
-            if len(table) + len(new) > self.max_words:
-                self.older, self.words = table, {}
-                table, new = self.words, set(words)
-            self._learn(new)
-        return [table[w] for w in words]
+        if len(self.words) > self.max_words:
+            self.words = Words(self, self.words)
+        return list(map(self.words.__getitem__, text.replace("\n", " ").replace("\t", " ").split(" ")))
 
     def encode(self, text: str | None) -> bytes:
         """All ids of ``text`` as little-endian uint32 bytes; null is empty."""
@@ -104,6 +109,12 @@ class WordTokenizer:
         return PrefixCounts(self, text or "")
 
 
+@lru_cache(maxsize=2)
+def shared_tokenizer(path: str) -> WordTokenizer:
+    """This process's encoder of a file: a Python worker keeps its word table from task to task."""
+    return WordTokenizer(path)
+
+
 class PrefixCounts:
     """Exact token counts of every prefix of one text."""
 
