@@ -27,9 +27,14 @@ def mean(s: Column) -> Column:
 
 
 def std(s: Column) -> Column:
-    """Population deviation of the valid values."""
-    v, m = valid(s), mean(s)
-    return F.when(F.size(v) > 0, F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + (x - m) * (x - m)) / F.size(v)))
+    """Population deviation of the valid values, from one pass of sums about the first value."""
+    v = valid(s)
+    shift = F.get(v, F.lit(0))
+    moved = F.zip_with(v, F.array_repeat(shift, F.size(v)), lambda x, c: x - c)
+    zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("b"))
+    sums = F.aggregate(moved, zero, lambda t, x: F.struct((t.a + x).alias("a"), (t.b + x * x).alias("b")), lambda t: F.struct(t.a.alias("a"), t.b.alias("b")))
+    n = F.size(v)
+    return F.when(n > 0, F.sqrt(F.greatest(F.lit(0.0), sums["b"] / n - (sums["a"] / n) * (sums["a"] / n))))
 
 
 def differences(s: Column) -> Column:
