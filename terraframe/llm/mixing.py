@@ -65,7 +65,8 @@ def fit(docs: DataFrame, labels: DataFrame, domain: Column, id_col: str = "doc_i
     if not names:
         return [], [], []
     share = F.element_at(F.create_map(*[F.lit(x) for d in names for x in (d, min(1.0, rows_per_domain / sizes[d]))]), F.col("domain"))
-    sample = known.where(uniform(F.col("_id"), "fit") < share)
+    # About rows_per_domain short rows of each domain, whatever the size of the labelled table.
+    sample = F.broadcast(known.where(uniform(F.col("_id"), "fit") < share))
     text = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")).join(sample, "_id")
     counts = text.select("domain", F.explode(words(F.col("_t"))).alias("w")).groupBy("domain", bucket(F.col("w")).alias("b")).agg(F.count(F.lit(1)).alias("n"))
     table = [[0.5] * BUCKETS for _ in names]
