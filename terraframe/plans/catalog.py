@@ -18,7 +18,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 BANDS = ["B2", "B3", "B4", "B5", "B8", "NDVI"]
 START = date(2024, 1, 1)
-CROP = F.col("label") == 1
+
+
+def crop():
+    """Rows of the crop class."""
+    return F.col("label") == 1
+
 
 
 def query(name: str, sql: str | None = None, uses: tuple[str, ...] = ()):
@@ -309,12 +314,12 @@ st AS (SELECT aoi, date, n_pos, n_neg, CASE WHEN n_pos >= 100 AND n_neg >= 100 T
 
 @query("ag10_separability", _SEPARABLE + "SELECT aoi, date, CAST(n_pos AS BIGINT) AS n_pos, CAST(n_neg AS BIGINT) AS n_neg, round(d, 5) AS d, status FROM st", ("px",))
 def _(px):
-    return rounded(stats.separability(px, ["aoi", "date"], "NDVI", CROP, 100, 1.4), "d", n=5)
+    return rounded(stats.separability(px, ["aoi", "date"], "NDVI", crop(), 100, 1.4), "d", n=5)
 
 
 @query("fi12_drop_weak", _SEPARABLE + "SELECT px.aoi, px.date, count(*) AS n FROM px WHERE NOT EXISTS (SELECT 1 FROM st WHERE st.aoi = px.aoi AND st.date = px.date AND status = 'weak') GROUP BY px.aoi, px.date", ("px",))
 def _(px):
-    kept = stats.drop_weak(px, ["aoi", "date"], stats.separability(px, ["aoi", "date"], "NDVI", CROP, 100, 1.4))
+    kept = stats.drop_weak(px, ["aoi", "date"], stats.separability(px, ["aoi", "date"], "NDVI", crop(), 100, 1.4))
     return kept.groupBy("aoi", "date").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -473,7 +478,7 @@ def _(px):
 
 
 def _role():
-    return F.when(CROP, "positive").otherwise("negative")
+    return F.when(crop(), "positive").otherwise("negative")
 
 
 def _quantile_sql(feature: str, role: str, group: str) -> str:
@@ -517,12 +522,12 @@ def _(px):
 
 @query("ag11_cohens_d", "SELECT aoi, round((avg(CASE WHEN label = 1 THEN B4 END) - avg(CASE WHEN label <> 1 THEN B4 END)) / sqrt((var_samp(CASE WHEN label = 1 THEN B4 END) + var_samp(CASE WHEN label <> 1 THEN B4 END)) / 2), 6) AS d FROM px GROUP BY ROLLUP (aoi)", ("px",))
 def _(px):
-    return rounded(px.rollup("aoi").agg(stats.cohens_d(F.col("B4").cast("double"), CROP).alias("d")), "d")
+    return rounded(px.rollup("aoi").agg(stats.cohens_d(F.col("B4").cast("double"), crop()).alias("d")), "d")
 
 
 @query("ag12_cohens_d_pooled", "SELECT aoi, round((avg(CASE WHEN label = 1 THEN B4 END) - avg(CASE WHEN label <> 1 THEN B4 END)) / sqrt(((count(CASE WHEN label = 1 THEN 1 END) - 1) * var_samp(CASE WHEN label = 1 THEN B4 END) + (count(CASE WHEN label <> 1 THEN 1 END) - 1) * var_samp(CASE WHEN label <> 1 THEN B4 END)) / (count(*) - 2)), 6) AS d FROM px GROUP BY aoi", ("px",))
 def _(px):
-    return rounded(px.groupBy("aoi").agg(stats.cohens_d(F.col("B4").cast("double"), CROP, True).alias("d")), "d")
+    return rounded(px.groupBy("aoi").agg(stats.cohens_d(F.col("B4").cast("double"), crop(), True).alias("d")), "d")
 
 
 @query("ag13_pivot_counts", "SELECT aoi, date, CAST(sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_1, CAST(sum(CASE WHEN label = 4 THEN 1 ELSE 0 END) AS BIGINT) AS n_4 FROM px GROUP BY aoi, date", ("px",))
@@ -609,12 +614,12 @@ _CONF = "SELECT aoi, CAST(sum(CASE WHEN label = 1 AND prob >= 0.5 THEN 1 ELSE 0
 
 @query("ag27_confusion", "SELECT *, round(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0), 6) AS precision, round(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0), 6) AS recall, round(coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1 FROM (" + _CONF + ") t", ("scores",))
 def _(scores):
-    return rounded(evaluate.confusion(scores, ["aoi"], CROP, F.col("prob") >= 0.5), "precision", "recall", "f1")
+    return rounded(evaluate.confusion(scores, ["aoi"], crop(), F.col("prob") >= 0.5), "precision", "recall", "f1")
 
 
 @query("ag29_roc_auc", "SELECT aoi, round((sum(CASE WHEN label = 1 THEN rk ELSE 0 END) - n1 * (n1 + 1) / 2.0) / (n1 * n0), 6) AS auc FROM (SELECT aoi, label, rank() OVER (PARTITION BY aoi ORDER BY prob) + (count(*) OVER (PARTITION BY aoi, prob) - 1) / 2.0 AS rk, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) OVER (PARTITION BY aoi) AS n1, sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) OVER (PARTITION BY aoi) AS n0 FROM scores) t GROUP BY aoi, n1, n0", ("scores",))
 def _(scores):
-    return rounded(evaluate.roc_auc(scores, ["aoi"], CROP, "prob"), "auc")
+    return rounded(evaluate.roc_auc(scores, ["aoi"], crop(), "prob"), "auc")
 
 
 _CURVE = """, st AS (SELECT prob, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos, sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS neg FROM scores GROUP BY prob),
@@ -624,18 +629,18 @@ pr AS (SELECT prob, tp, fp, CAST(tp AS DOUBLE) / (tp + fp) AS precision, CAST(tp
 
 @query("ag30_pr_curve", _CURVE + "SELECT CAST(prob AS DOUBLE) AS prob, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, round(precision, 6) AS precision, round(recall, 6) AS recall FROM pr", ("scores",))
 def _(scores):
-    c = evaluate.pr_curve(scores, CROP, "prob")
+    c = evaluate.pr_curve(scores, crop(), "prob")
     return rounded(c.select(F.col("prob").cast("double").alias("prob"), "tp", "fp", "precision", "recall"), "precision", "recall")
 
 
 @query("ag30_average_precision", _CURVE + "SELECT round(sum(a), 6) AS average_precision FROM (SELECT (recall - coalesce(lag(recall) OVER (ORDER BY prob DESC), 0)) * precision AS a FROM pr) t", ("scores",))
 def _(scores):
-    return rounded(evaluate.average_precision(evaluate.pr_curve(scores, CROP, "prob"), "prob"), "average_precision")
+    return rounded(evaluate.average_precision(evaluate.pr_curve(scores, crop(), "prob"), "prob"), "average_precision")
 
 
 @query("tk10_recall_at_precision", _CURVE + "SELECT round(coalesce(max(recall), 0), 6) AS recall FROM pr WHERE precision >= 0.6", ("scores",))
 def _(scores):
-    return rounded(evaluate.recall_at_precision(evaluate.pr_curve(scores, CROP, "prob"), 0.6), "recall")
+    return rounded(evaluate.recall_at_precision(evaluate.pr_curve(scores, crop(), "prob"), 0.6), "recall")
 
 
 _GRID = [round(0.05 + 0.01 * i, 2) for i in range(91)]
@@ -644,17 +649,17 @@ _SWEEP = ", g AS (SELECT CAST(5 + i AS DOUBLE) / 100 AS t FROM (SELECT unnest(ra
 
 @query("tk8_threshold_sweep", _SWEEP + "SELECT t, round(2.0 * tp / nullif(2 * tp + fp + fn, 0), 6) AS f1 FROM sw ORDER BY coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0) DESC, t LIMIT 1", ("scores",))
 def _(scores):
-    return rounded(evaluate.best_threshold(evaluate.threshold_table(scores.withColumn("prob", F.col("prob").cast("double")), CROP, "prob", _GRID)), "f1")
+    return rounded(evaluate.best_threshold(evaluate.threshold_table(scores.withColumn("prob", F.col("prob").cast("double")), crop(), "prob", _GRID)), "f1")
 
 
 @query("ag33_positives_at", _SWEEP + "SELECT t, CAST(tp + fp AS BIGINT) AS n FROM sw", ("scores",))
 def _(scores):
-    return evaluate.threshold_table(scores.withColumn("prob", F.col("prob").cast("double")), CROP, "prob", _GRID).select("t", (F.col("tp") + F.col("fp")).alias("n"))
+    return evaluate.threshold_table(scores.withColumn("prob", F.col("prob").cast("double")), crop(), "prob", _GRID).select("t", (F.col("tp") + F.col("fp")).alias("n"))
 
 
 @query("tk11_threshold_at_floor", _SWEEP + ", u AS (SELECT t, fp AS removed, 1.0 - CAST(tp AS DOUBLE) / (tp + fn) AS kept_share FROM sw) SELECT coalesce((SELECT t FROM u WHERE kept_share >= 0.5 AND removed > 0 ORDER BY removed DESC, t LIMIT 1), 1.0) AS t", ("scores",))
 def _(scores):
-    sw = evaluate.threshold_table(scores.withColumn("prob", F.col("prob").cast("double")), CROP, "prob", _GRID)
+    sw = evaluate.threshold_table(scores.withColumn("prob", F.col("prob").cast("double")), crop(), "prob", _GRID)
     return evaluate.threshold_at_floor(sw.select("t", F.col("fp").alias("removed"), (1 - F.col("tp") / (F.col("tp") + F.col("fn"))).alias("kept_share")), 0.5)
 
 
@@ -666,7 +671,7 @@ def _(px):
 
 @query("ml3_fold_sizes", "SELECT aoi, n_test, CAST(n_pos AS BIGINT) AS n_pos, CAST(sum(n_test) OVER () - n_test AS BIGINT) AS n_train, n_test >= 1000 AND sum(n_test) OVER () - n_test > 0 AND n_pos > 0 AND n_pos < n_test AS eligible FROM (SELECT aoi, count(*) AS n_test, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS n_pos FROM px GROUP BY aoi) t", ("px",))
 def _(px):
-    return evaluate.fold_sizes(px, "aoi", CROP)
+    return evaluate.fold_sizes(px, "aoi", crop())
 
 
 @query("ml9_stratified_split", "SELECT label, CAST(sum(CASE WHEN pos <= 0.8 * n THEN 1 ELSE 0 END) AS BIGINT) AS n_train, CAST(sum(CASE WHEN pos <= 0.8 * n THEN 0 ELSE 1 END) AS BIGINT) AS n_test FROM (SELECT label, row_number() OVER (PARTITION BY label ORDER BY md5(CAST(k AS VARCHAR))) AS pos, count(*) OVER (PARTITION BY label) AS n FROM px) t GROUP BY label", ("px",))
@@ -680,9 +685,9 @@ def _(px):
 def _(px):
     """Grouped hold-out: fit on all dates but one, score that one."""
     rows = px.where("B8 > 0")
-    model = evaluate.gradient_boosted(rows.where("date <> '2025-08-15'"), ["B2", "B4", "B5", "B8"], CROP, rounds=5, depth=3)
+    model = evaluate.gradient_boosted(rows.where("date <> '2025-08-15'"), ["B2", "B4", "B5", "B8"], crop(), rounds=5, depth=3)
     scored = evaluate.predict(rows.where("date = '2025-08-15'"), *model)
-    return rounded(evaluate.roc_auc(scored, ["aoi"], CROP, "prob"), "auc", n=4)
+    return rounded(evaluate.roc_auc(scored, ["aoi"], crop(), "prob"), "auc", n=4)
 
 
 # Joins and topology
@@ -718,7 +723,7 @@ def _(grid, fields):
 
 @query("jn9_run_flips", "SELECT coalesce(a.k, b.k) AS k, coalesce(a.crop, false) AS was, coalesce(b.crop, false) AS now FROM (SELECT k, max(CASE WHEN label = 1 THEN 1 ELSE 0 END) = 1 AS crop FROM px WHERE aoi = 'aoi_1' GROUP BY k) a FULL JOIN (SELECT k, max(CASE WHEN label = 1 THEN 1 ELSE 0 END) = 1 AS crop FROM px WHERE aoi = 'aoi_2' GROUP BY k) b ON a.k = b.k", ("px",))
 def _(px):
-    run = lambda aoi, n: px.where(F.col("aoi") == aoi).groupBy("k").agg(F.bool_or(CROP).alias(n))
+    run = lambda aoi, n: px.where(F.col("aoi") == aoi).groupBy("k").agg(F.bool_or(crop()).alias(n))
     return run("aoi_1", "was").join(run("aoi_2", "now"), "k", "full").select("k", F.coalesce("was", F.lit(False)).alias("was"), F.coalesce("now", F.lit(False)).alias("now"))
 
 
