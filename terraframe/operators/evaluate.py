@@ -75,6 +75,20 @@ def stratified_cap(frame: DataFrame, strata: list[str], k: int, order: list[Colu
     return frame.withColumn("pos", F.row_number().over(w)).where(F.col("pos") <= k)
 
 
+def stratified_split(frame: DataFrame, stratum: str, key: str, share: float, digits: int = 3) -> DataFrame:
+    """Adds ``train``: the first ``share`` of each stratum in the order of the key's MD5.
+
+    Ranks are exact without one task per stratum: rows are ranked within (stratum, hash prefix), and
+    the counts of the earlier prefixes are added.
+    """
+    rows = frame.withColumn("_h", F.md5(F.col(key).cast("string").cast("binary"))).withColumn("_b", F.substring("_h", 1, digits))
+    counts = rows.groupBy(stratum, "_b").agg(F.count(F.lit(1)).alias("_c"))
+    whole = Window.partitionBy(stratum)
+    counts = counts.select(stratum, "_b", F.coalesce(F.sum("_c").over(whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.sum("_c").over(whole).alias("_n"))
+    pos = F.col("_before") + F.row_number().over(Window.partitionBy(stratum, "_b").orderBy("_h"))
+    return rows.join(counts, [stratum, "_b"]).withColumn("train", pos <= F.col("_n") * F.lit(share)).drop("_h", "_b", "_before", "_n")
+
+
 def fold_sizes(frame: DataFrame, group: str, actual: Column, least: int = 1000) -> DataFrame:
     """Leave-one-group-out folds: sizes and whether a fold can be scored."""
     per = frame.groupBy(group).agg(F.count(F.lit(1)).alias("n_test"), F.count_if(actual).alias("n_pos"))

@@ -188,6 +188,22 @@ def best_cut(pixels: DataFrame, field: str, crop: str, x: str, y: str, angles: l
     return ok.groupBy(field).agg(F.max_by(F.struct("angle", "n1", "purity"), F.struct("purity", -F.col("angle"), -F.col("n1"))).alias("b")).select(field, "b.angle", F.col("b.n1").alias("cut"), "b.purity")
 
 
+def best_chip(grid: DataFrame, classes: list[Column], cell: int, size: int) -> DataFrame:
+    """(top, lft, score): the square of ``size`` cells with the largest smallest class count; ties row-major.
+
+    Window sums are separable: each cell is dealt to the ``size`` origins of its row, then each row
+    sum to those of its column. Origins are 0 or more; a chip may overhang the far edges.
+    """
+    names = [f"n{i}" for i in range(len(classes))]
+    at = lambda c: F.floor(F.col(c) / cell).cast("bigint")
+    sums = grid.groupBy(at("r").alias("top"), at("c").alias("lft")).agg(*[F.count_if(k).alias(n) for k, n in zip(classes, names)])
+    for axis, other in (("lft", "top"), ("top", "lft")):
+        origin = F.explode(F.sequence(F.greatest(F.col(axis) - (size - 1), F.lit(0)), F.col(axis)))
+        sums = sums.select(other, *names, origin.alias(axis)).groupBy(other, axis).agg(*[F.sum(n).alias(n) for n in names])
+    best = sums.select("top", "lft", F.least(*names).alias("score"))
+    return best.agg(F.max_by(F.struct("top", "lft", "score"), F.struct("score", -F.col("top"), -F.col("lft"))).alias("b")).select("b.*")
+
+
 def tile_apply(tiles: DataFrame, key: str, worker, schema: str) -> DataFrame:
     """Run ``worker(frame) -> frame`` per tile; an error becomes a row of ``status``, not a failed job."""
 
