@@ -126,3 +126,41 @@ def predict(frame: DataFrame, model, assembler) -> DataFrame:
 
     scored = model.transform(assembler.transform(frame))
     return scored.withColumn("prob", vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability", "prediction")
+
+
+def stratified_share(frame: DataFrame, strata: list[str], keys: list[str], share: float) -> DataFrame:
+    """Rows whose key's MD5 falls into the first ``share``: the same share of every stratum, the same rows in every run.
+
+    ``strata`` only says which groups the share holds for; no shuffle is needed.
+    """
+    cut = f"{round(share * 65536):04x}"
+    digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).cast("binary"))
+    return frame.dropna(subset=strata).where(F.lit(True) if share >= 1 else F.substring(digest, 1, 4) < cut)
+
+
+def ablation(train: DataFrame, test: DataFrame, arms: dict[str, list[str]], label: Column, rounds: int = 5, depth: int = 3) -> DataFrame:
+    """(arm, features, auc): one fit per feature set, all scored on the same rows."""
+    out = None
+    for arm, features in arms.items():
+        model, assembler = gradient_boosted(train, features, label, rounds=rounds, depth=depth)
+        row = roc_auc(predict(test, model, assembler), [], label, "prob").select(F.lit(arm).alias("arm"), F.lit(",".join(features)).alias("features"), "auc")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def tuned_forest(frame: DataFrame, features: list[str], label: Column, depths: tuple[int, ...] = (5, 8, 12), trees: tuple[int, ...] = (50, 100), folds: int = 3) -> DataFrame:
+    """(depth, trees, accuracy, best) of every setting of a random forest by cross-validation."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip")
+    rows = assembler.transform(frame.withColumn("_y", label.cast("double")).dropna(subset=features)).select("features", "_y")
+    forest = RandomForestClassifier(featuresCol="features", labelCol="_y", seed=7)
+    grid = ParamGridBuilder().addGrid(forest.maxDepth, list(depths)).addGrid(forest.numTrees, list(trees)).build()
+    judge = MulticlassClassificationEvaluator(labelCol="_y", metricName="accuracy")
+    found = CrossValidator(estimator=forest, estimatorParamMaps=grid, evaluator=judge, numFolds=folds, seed=7, parallelism=2).fit(rows)
+    top = max(found.avgMetrics)
+    table = [(p[forest.maxDepth], p[forest.numTrees], float(m), bool(m == top)) for p, m in zip(grid, found.avgMetrics)]
+    return frame.sparkSession.createDataFrame(table, "depth int, trees int, accuracy double, best boolean")

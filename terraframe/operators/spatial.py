@@ -13,8 +13,8 @@ def with_cells(boxes: DataFrame, size: float, x0: str = "x0", y0: str = "y0", x1
     return boxes.withColumn("gx", F.explode(F.sequence(cell(x0), cell(x1)))).withColumn("gy", F.explode(F.sequence(cell(y0), cell(y1))))
 
 
-def box_join(left: DataFrame, right: DataFrame, size: float, keys: tuple[str, str]) -> DataFrame:
-    """Pairs of boxes whose interiors meet, each once: an equi-join on cells, then the exact test.
+def box_join(left: DataFrame, right: DataFrame, size: float, keys: tuple[str, str], touching: bool = False) -> DataFrame:
+    """Pairs of boxes whose interiors meet (``touching``: or that share a border), each once: an equi-join on cells, then the exact test.
 
     A pair that shares several cells is kept only in the one that holds the lower corner of the
     intersection, so nothing has to be made distinct. Columns are prefixed l_ and r_.
@@ -22,6 +22,8 @@ def box_join(left: DataFrame, right: DataFrame, size: float, keys: tuple[str, st
     a = with_cells(left, size).select(*[F.col(c).alias(f"l_{c}") for c in left.columns], "gx", "gy")
     b = with_cells(right, size).select(*[F.col(c).alias(f"r_{c}") for c in right.columns], "gx", "gy")
     meet = (F.col("l_x0") < F.col("r_x1")) & (F.col("r_x0") < F.col("l_x1")) & (F.col("l_y0") < F.col("r_y1")) & (F.col("r_y0") < F.col("l_y1"))
+    if touching:
+        meet = (F.col("l_x0") <= F.col("r_x1")) & (F.col("r_x0") <= F.col("l_x1")) & (F.col("l_y0") <= F.col("r_y1")) & (F.col("r_y0") <= F.col("l_y1"))
     owner = (F.floor(F.greatest("l_x0", "r_x0") / size) == F.col("gx")) & (F.floor(F.greatest("l_y0", "r_y0") / size) == F.col("gy"))
     return a.join(b, ["gx", "gy"]).where(meet & owner).drop("gx", "gy")
 
