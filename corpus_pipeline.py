@@ -14,8 +14,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of smallest id of each SimHash component."""
-    return simhash.keep_first(docs)
+    """Keep the document of smallest id of each component of 5-word-shingle Jaccard >= 0.8."""
+    return simhash.keep_distinct(docs)
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

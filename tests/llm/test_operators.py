@@ -202,6 +202,45 @@ def test_simhash_against_brute_force(spark):
     assert simhash.keep_first(odd(spark).limit(0)).count() == 0
 
 
+def jaccard_sets(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def test_pipeline_drops_near_copies(spark):
+    import corpus_pipeline
+
+    rng = random.Random(11)
+    texts = {k: " ".join(str(rng.randrange(5000)) for _ in range(rng.choice([60, 200, 700]))) for k in range(30)}
+    for k in range(30):
+        words = texts[k].split()
+        for copy in (1, 2, 3, 4):
+            changed = list(words)
+            for _ in range(rng.randrange(1, len(words) // 40 + 2)):
+                changed[rng.randrange(len(words))] = "new"
+            texts[100 * copy + k] = " ".join(changed)
+    texts |= {5000 + k: t for k, t in ODD if k is not None and k < 9}
+    sets = {k: jaccard_sets(t) for k, t in texts.items()}
+    like = lambda a, b: a == b or len(a & b) >= 0.8 * len(a | b)
+    pairs = [(a, b) for a in sets for b in sets if a < b and like(sets[a], sets[b])]
+    assert sum(0.8 <= len(sets[a] & sets[b]) / max(1, len(sets[a] | sets[b])) <= 0.95 for a, b in pairs) > 50
+    label = brute_groups(texts, pairs)
+    frame = spark.createDataFrame([*texts.items(), (None, texts[0])], "doc_id long, text string")
+    for block in (simhash.BLOCK, 2):
+        assert {r[0]: r[1] for r in simhash.shingle_groups(frame, block=block).collect()} == label
+    kept = corpus_pipeline.drop_near_duplicates(spark, frame, SF)
+    assert {r["doc_id"] for r in kept.collect()} == {*label.values(), None}
+    assert corpus_pipeline.drop_near_duplicates(spark, frame.limit(0), SF).count() == 0
+
+
+@pytest.mark.parametrize("radius", [4, 7, 24])
+def test_wide_distances(radius):
+    rng = np.random.default_rng(radius)
+    a = rng.integers(0, 1 << 63, 5000, dtype=np.uint64)
+    b = a ^ (rng.integers(0, 1 << 63, 5000, dtype=np.uint64) & rng.integers(0, 1 << 63, 5000, dtype=np.uint64))
+    assert simhash.within(a, b, radius).tolist() == [int(x ^ y).bit_count() <= radius for x, y in zip(a, b)]
+
+
 @pytest.mark.parametrize("radius", [0, 1, 2, 3])
 def test_links_lose_nothing(spark, radius):
     rng = random.Random(radius)
