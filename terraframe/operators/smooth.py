@@ -68,3 +68,11 @@ def smooth_full(s: Column, matrix: list[list[float]]) -> Column:
     """The smoother of a gap-free series as a column expression over a constant matrix."""
     rows = [F.aggregate(F.zip_with(s, F.array(*map(F.lit, row)), lambda x, w: x * w), F.lit(0.0), lambda a, x: a + x) for row in matrix]
     return F.array(*rows)
+
+
+def smooth_split(s: Column, n: int, lam: float) -> Column:
+    """Series of ``n`` steps: the constant matrix where no step is missing, a solve per series elsewhere."""
+    whole = F.forall(s, lambda x: x.isNotNull() & ~F.isnan(x)) & (F.size(s) == n)
+    matrix = F.lit(full_valid_matrix(n, lam))
+    full = F.transform(matrix, lambda row: F.aggregate(F.zip_with(s, row, lambda x, w: x * w), F.lit(0.0), lambda a, x: a + x))
+    return F.when(whole, full).otherwise(whittaker(lam)(F.when(~whole, s)))

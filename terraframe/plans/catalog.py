@@ -245,6 +245,12 @@ def _(s):
     return rounded(z, "z")
 
 
+@query("ar3_whittaker_all_steps", None, ("series",))
+def _(s):
+    """All 64 steps; series with gaps are solved on their own."""
+    return s.select("pixel_id", F.transform(smooth.smooth_split(F.col("s"), 64, 0.5), lambda x: F.round(x, 6)).alias("z"))
+
+
 @query("ar4_date_slice", "SELECT pixel_id, step, round(v, 6) AS v FROM long WHERE step >= 10 AND step < 20", ("long",))
 def _(long):
     return rounded(long.where("step >= 10 and step < 20").select("pixel_id", "step", "v"), "v")
@@ -602,6 +608,12 @@ def _(long):
     return rounded(rows.join(means, "step").select("pixel_id", "step", F.coalesce("v", "m").alias("v")), "v")
 
 
+@query("ag39_mean_imputation_all_steps", "SELECT pixel_id, step, round(coalesce(v, avg(v) OVER (PARTITION BY step)), 6) AS v FROM long", ("long",))
+def _(long):
+    means = F.broadcast(long.groupBy("step").agg(F.avg("v").alias("m")))  # one row a step
+    return rounded(long.join(means, "step").select("pixel_id", "step", F.coalesce("v", "m").alias("v")), "v")
+
+
 @query("wi5_group_centred", "SELECT pixel_id, round(m - quantile_cont(m, 0.5) OVER (PARTITION BY district), 6) AS centred FROM (SELECT pixel_id, district, avg(v) AS m FROM long GROUP BY pixel_id, district) t", ("series",))
 def _(s):
     return rounded(stats.centred(s.select("pixel_id", "district", series.mean(F.col("s")).alias("m")), "district", "m").select("pixel_id", "centred"), "centred")

@@ -54,6 +54,23 @@ def test_whittaker_against_dense_solve(spark):
     assert got[1] == [None] * 7 and got[3] is None and got[4] == []
 
 
+def test_all_steps_are_smoothed_and_imputed(spark):
+    series_of = {r["pixel_id"]: r["z"] for r in catalog.QUERIES["ar2_whittaker_full"](spark, SF).collect()}
+    got = {r["pixel_id"]: r["z"] for r in catalog.QUERIES["ar3_whittaker_all_steps"](spark, SF).collect()}
+    assert got.keys() == series_of.keys() and all(len(z) == 64 for z in got.values())
+    for k, z in got.items():
+        assert np.allclose(np.array(z, float), np.array(series_of[k], float), atol=2e-6, equal_nan=True)
+    steps = catalog.QUERIES["ag39_mean_imputation_all_steps"](spark, SF).select("step").distinct().count()
+    assert steps == 64
+    y = np.array([[0.1, 0.5, 0.2, 0.9, 0.4, 0.3, 0.8], [0.1, np.nan, 0.2, 0.9, np.nan, 0.3, 0.8], [np.nan] * 7])
+    frame = spark.createDataFrame([(i, [None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(y)], "i int, s array<double>")
+    z = {r["i"]: r["z"] for r in frame.select("i", smooth.smooth_split(F.col("s"), 7, 0.5).alias("z")).collect()}
+    for i in (0, 1):
+        w = np.diag(np.isfinite(y[i]).astype(float))
+        assert np.allclose(z[i], np.linalg.solve(w + smooth.penalty(7, 0.5), np.nan_to_num(y[i])))
+    assert z[2] == [None] * 7
+
+
 def blobs(cells, eight):
     left, out = set(cells), []
     while left:
