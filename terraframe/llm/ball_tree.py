@@ -4,14 +4,15 @@ Components are floor(scale * x), so scores are exact integers. A tree node keeps
 rows and their largest distance from it; no row below it can score more than q.c + |q| r. A block
 of queries walks a tree together: nodes are taken from a queue in the order of their best upper
 bound over the block, and a query leaves a node as soon as its bound is under the query's k-th
-score so far (equal bounds stay, for ties). The k-th scores are shared: a first wave searches
-one shard per query block, and every further shard starts from the scores of that wave.
+score so far (equal bounds stay, for ties). A task has one block and the names and root balls of
+a group of trees: it visits them in the order of their bounds, hands the current k-th scores from tree
+to tree, and reads no tree whose root ball is out of reach. Groups are searched in waves of growing
+number, and each wave starts from the k-th scores of all waves before it.
 """
 
 from __future__ import annotations
 
 import heapq
-import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,12 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .runtime import materialize
-from .vectors import clean_vectors, pairings, shards
+from .runtime import materialize, scratch
+from .vectors import clean_vectors, load, save, shards
 
 SHARD_ROWS = 8192
-QUERY_ROWS = 1024
+QUERY_ROWS = 256
 LEAF_ROWS = 256
+GROUP_TREES = 16
 NONE = -(1 << 63)
 
 
@@ -76,6 +78,13 @@ def build_tree(ids: np.ndarray, rows: np.ndarray, leaf: int = LEAF_ROWS) -> dict
     return {"ids": ids[order], "rows": rows[order], "nodes": nodes, "centres": np.array(centres), "radii": np.array(radii)}
 
 
+def root_bound(queries: np.ndarray, centre: np.ndarray, radius: float) -> np.ndarray:
+    """Upper bound of each query's score in a ball, with room for the rounding of float64."""
+    q = queries.astype(np.float64)
+    dot, norm = q @ centre, np.sqrt((q * q).sum(axis=1))
+    return dot + norm * radius + 1e-9 * (np.abs(dot) + norm * (radius + np.abs(centre).sum())) + 1e-6
+
+
 def search(tree: dict, qids: np.ndarray, queries: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(len(queries), k) ids and scores, best first, ties to the smaller id; -1 and NONE where fewer.
 
@@ -118,70 +127,76 @@ def search(tree: dict, qids: np.ndarray, queries: np.ndarray, floor: np.ndarray,
     return np.where(best == NONE, -1, who), best
 
 
-def _search_pairs(pairs: DataFrame, k: int) -> DataFrame:
+def _search_groups(work: DataFrame, k: int) -> DataFrame:
+    """(block, row, query_id, vec_id, score) over rows of (block, trees, known)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for left, right in zip(batch.column(0), batch.column(1)):
-                block, tree = pickle.loads(left.as_buffer()), pickle.loads(right.as_buffer())
-                floor = block.get("floor", np.full(len(block["ids"]), NONE, np.int64))
-                who, best = search(tree, block["ids"], block["rows"], floor, k)
+            for name, trees, known in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                block = load(name)
+                ids, rows, n = block["ids"], block["rows"], len(block["ids"])
+                floor = np.full(n, NONE, np.int64)
+                for x in known or []:
+                    floor[x["row"]] = x["kth"]
+                who, best = np.full((n, k), -1, np.int64), np.full((n, k), NONE, np.int64)
+                bounds = [root_bound(rows, np.array(t["centre"]), t["radius"]) for t in trees]
+                for i in sorted(range(len(trees)), key=lambda i: -bounds[i].max(initial=-np.inf)):
+                    live = np.nonzero(bounds[i] >= floor)[0]
+                    if not len(live):
+                        continue
+                    got_ids, got = search(load(trees[i]["path"]), ids[live], rows[live], floor[live], k)
+                    every, scored = np.concatenate([who[live], got_ids], axis=1), np.concatenate([best[live], got], axis=1)
+                    rank = np.lexsort((every, -np.maximum(scored, NONE + 1)), axis=1)[:, :k]
+                    who[live], best[live] = np.take_along_axis(every, rank, 1), np.take_along_axis(scored, rank, 1)
+                    floor[live] = np.maximum(floor[live], best[live, k - 1])
                 there = best > NONE
                 of = np.nonzero(there)[0]
-                yield pa.RecordBatch.from_arrays([pa.array(block["ids"][of]), pa.array(who[there]), pa.array(best[there])], ["query_id", "vec_id", "score"])
-
-    return pairs.select("ldata", "rdata").mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
-
-
-def _with_floor(blocks: DataFrame, first: DataFrame, k: int) -> DataFrame:
-    """Query blocks that carry the k-th scores of the first wave."""
-    known = first.groupBy("query_id").agg(F.sort_array(F.collect_list("score"), False).alias("s"))  # at most k each
-    known = known.where(F.size("s") >= k).select("query_id", F.element_at("s", k).alias("kth"))
-    members = blocks.mapInArrow(_members, "shard string, query_id bigint")
-    packed = members.join(known, "query_id").groupBy("shard").agg(F.collect_list(F.struct("query_id", "kth")).alias("known"))  # a block's rows
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for data, known in zip(batch.column(3), batch.column(4)):
-                block = pickle.loads(data.as_buffer())
-                kth = {x["query_id"]: x["kth"] for x in known.as_py() or []}
-                block["floor"] = np.array([kth.get(i, NONE) for i in block["ids"].tolist()], np.int64)
-                out.append(pickle.dumps(block, 5))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.binary())], ["shard", "dim", "n", "data"])
-
-    return blocks.join(packed, "shard", "left").select("shard", "dim", "n", "data", "known").mapInArrow(run, "shard string, dim int, n int, data binary")
-
+                columns = [pa.array([name] * len(of), pa.string()), pa.array(of, pa.int32()), pa.array(ids[of]), pa.array(who[there]), pa.array(best[there])]
+                yield pa.RecordBatch.from_arrays(columns, ["block", "row", "query_id", "vec_id", "score"])
 
-def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for name, data in zip(batch.column(0).to_pylist(), batch.column(3)):
-            ids = pickle.loads(data.as_buffer())["ids"]
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(ids), pa.string()), pa.array(ids)], ["shard", "query_id"])
+    return work.select("block", "trees", "known").mapInArrow(run, "block string, row int, query_id bigint, vec_id bigint, score bigint")
 
 
-def top_k(queries: DataFrame, table: DataFrame, k: int = 5, scale: float = 256.0, id_col: str = "vec_id", vector_col: str = "embedding", shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
+def top_k(queries: DataFrame, table: DataFrame, k: int = 5, scale: float = 256.0, id_col: str = "vec_id", vector_col: str = "embedding", shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS, group_trees: int = GROUP_TREES) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's ``k`` best other rows of ``table``.
 
-    Ids are unique within each table; a row with the query's own id is no candidate. Vectors that are
-    null, empty or hold null or non-finite components take no part, and vectors of different length
-    don't meet. Fewer than ``k`` candidates give fewer rows, an empty table none. Scores beyond
-    int64 are clipped to it.
+    Rows with the query's own id are no candidates. Rows that repeat an id are queries and candidates
+    each: a repeated query has its ranks once for each of its rows. Vectors that are null, empty or
+    hold null or non-finite components take no part, and vectors of different length don't meet.
+    Fewer than ``k`` candidates give fewer rows, an empty table none. Scores beyond int64 are
+    clipped to it.
     """
+    spark = table.sparkSession
+    folder = scratch(spark, "trees")
 
-    def pack(ids: np.ndarray, matrix: np.ndarray) -> bytes:
-        return pickle.dumps({"ids": ids, "rows": quantise(matrix, scale)}, 5)
+    def pack(ids: np.ndarray, matrix: np.ndarray) -> tuple:
+        return save(folder, {"ids": ids, "rows": quantise(matrix, scale)}), [], 0.0
 
-    def plant(ids: np.ndarray, matrix: np.ndarray) -> bytes:
-        return pickle.dumps(build_tree(ids, quantise(matrix, scale)), 5)
+    def plant(ids: np.ndarray, matrix: np.ndarray) -> tuple:
+        tree = build_tree(ids, quantise(matrix, scale))
+        return save(folder, tree), tree["centres"][0].tolist(), float(tree["radii"][0])
 
     blocks = materialize(shards(clean_vectors(queries, id_col, vector_col).coalesce(_few(queries)), query_rows, pack), "queries")
+    blocks = blocks.select(F.col("path").alias("block"), "dim")
     trees = materialize(shards(clean_vectors(table, id_col, vector_col), shard_rows, plant), "trees")
-    pilot = trees.groupBy("dim").agg(F.max_by("shard", F.struct("n", "shard")).alias("shard"))
-    first = materialize(_search_pairs(pairings(blocks, trees.join(pilot, ["dim", "shard"], "left_semi")), k), "first")
-    rest = materialize(trees.join(pilot, ["dim", "shard"], "left_anti"), "rest")
-    second = _search_pairs(pairings(materialize(_with_floor(blocks, first, k), "floors"), rest), k)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = first.unionByName(second).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    n_groups = max(1, -(-trees.count() // group_trees))
+    dealt = trees.withColumn("g", F.pmod(F.xxhash64("path"), F.lit(n_groups)))
+    groups = materialize(dealt.groupBy("g", "dim").agg(F.collect_list(F.struct("path", "centre", "radius")).alias("trees")), "groups")  # about group_trees names
+    found, low, high = None, 0, 1
+    while low < n_groups:
+        work = blocks.join(groups.where((F.col("g") >= low) & (F.col("g") < high)), "dim")
+        if found is None:
+            work = work.withColumn("known", F.lit(None).cast("array<struct<row:int,kth:bigint>>"))
+        else:
+            scored = found.groupBy("block", "row").agg(F.sort_array(F.collect_list("score"), False).alias("s")).where(F.size("s") >= k)  # k a wave at most
+            known = scored.groupBy("block").agg(F.collect_list(F.struct("row", F.element_at("s", k).alias("kth"))).alias("known"))  # a block's rows
+            work = work.join(known, "block", "left")
+        work = materialize(work.select("block", "trees", "known"), "work")
+        got = materialize(_search_groups(work.repartition(max(1, min(work.count(), 20_000))), k), "found")
+        found = got if found is None else found.unionByName(got)
+        low, high = high, 4 * high
+    order = Window.partitionBy("block", "row").orderBy(F.desc("score"), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .ball_tree import OP1_SQL, op1_ball_tree
-from .hnsw import op9_hnsw
+from .hnsw import OP9_SQL, op9_hnsw
 from .html_text import op2_html_text
 from .huffman import op3_huffman_ids
 from .mixing import op8_mixing
@@ -26,4 +26,4 @@ QUERIES = {
     "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL = {"op1_ball_tree": OP1_SQL}
+ORACLE_SQL = {"op1_ball_tree": OP1_SQL, "op9_hnsw": OP9_SQL}

@@ -44,6 +44,13 @@ def test_top_k_against_brute_force(spark):
         best = sorted((-int(q[i] @ q[j]), j) for j in range(300) if j != i)[:4]
         want += [(i, k, j, -s) for k, (s, j) in enumerate(best, 1)]
     assert [tuple(r) for r in got] == want
+    again = ball_tree.top_k(table.where("vec_id % 7 = 0"), table, 4, shard_rows=40, query_rows=16, group_trees=1).orderBy("query_id", "rank").collect()
+    assert again == got, "waves of one tree a group"
+    twice = table.where("vec_id < 40").unionByName(table.where("vec_id = 3"))
+    got = ball_tree.top_k(twice.where("vec_id = 3"), twice, 2).collect()
+    assert len(got) == 4 and all(r["vec_id"] != 3 for r in got) and {r["rank"] for r in got} == {1, 2}
+    got = [r["vec_id"] for r in ball_tree.top_k(twice.where("vec_id = 5"), twice, 40).collect()]
+    assert got.count(3) == 2 and len(got) == 40
     assert ball_tree.top_k(table.limit(0), table).count() == 0
     assert ball_tree.top_k(table.where("vec_id = 902"), table).count() == 0
 
@@ -358,6 +365,20 @@ def test_near_duplicates_against_brute_force(spark):
     assert [got[i]["component_id"] for i in range(len(x))] == [label[i] for i in range(len(x))]
     assert all(got[i]["n_links"] == 0 and got[i]["kept"] and got[i]["component_id"] == i for i in (900, 901, 902, 903, 904))
     assert hnsw.near_duplicates(frame.limit(0)).count() == 0
+    assert {r["recall"] for r in got.values()} == {1.0}
+
+
+def test_audits_are_never_empty():
+    rng = np.random.default_rng(6)
+    rows = hnsw.unit_rows(rng.normal(size=(900, 24)))
+    graph = hnsw.Graph(rows)
+    width, _, recall, audited = hnsw.tune(hnsw.unit_rows(rng.normal(size=(50, 24))), graph, rows, 0.9)
+    assert width and recall >= hnsw.RECALL and audited >= hnsw.PLANTED
+    blind = hnsw.Graph(rows)
+    blind.layers = [np.full_like(x, -1) for x in blind.layers]
+    assert hnsw.tune(rows[:40], blind, rows, 0.9)[0] == 0, "a graph without edges is left for brute force"
+    found = {(a, b) for u, v in hnsw.links_of(rows[:40], blind, rows, 0.9, 0, 0.1) for a, b in zip(u.tolist(), v.tolist())}
+    assert found == {(i, i) for i in range(40)}
 
 
 # 10
