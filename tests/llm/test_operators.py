@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import io
+import math
 import random
 import zlib
 
@@ -66,17 +67,38 @@ def test_scores_beyond_int64_are_clipped():
 PAGE = "<html><head><title>t</title></head><body><header>Site</header><nav><a>Menu</a></nav>{}<footer>foot</footer></body></html>"
 
 
+def text_of(source):
+    return html_text.main_text(html_text.lines_of(source), set(), set())
+
+
 def test_html_structure():
     page = PAGE.format("<div class='cookie-banner'>We use cookies</div><article><header><h1>A &amp; B</h1><p>by me</p></header><p>one<br>two   <b>bold</b><p>x &lt; y<script>var a='</p>';</script><aside>side</aside><form><input>go</form><section id=comments><p>first!</p></section></article><div class='ad'>buy</div>")
-    assert html_text.main_text(html_text.lines_of(page), None) == "A & B\n\none two bold\n\nx < y"
+    assert text_of(page) == "A & B\n\none two bold\n\nx < y"
     assert html_text.lines_of(None) == [] and html_text.lines_of("") == []
-    assert html_text.main_text(html_text.lines_of("plain <b>text"), None) == "plain text"
-    assert html_text.main_text(html_text.lines_of('<p>a<a title="broken>b</p>c'), None).startswith("a")
+    assert text_of("plain <b>text") == "plain text"
+    assert text_of('<p>a<a title="broken>b</p>c').startswith("a")
+    assert text_of("<html><head><title>t</title><body><p>hello world") == "hello world", "head ends where the body begins"
+    assert text_of("<html><head><title>t</title><p>hello") == "hello"
+    assert text_of("<body><form action=x><nav>m</nav><p>A page inside one form</p><input></form>") == "A page inside one form"
+    assert text_of("<body><form><div>Search</div></form><p>A page beside its form</p>") == "A page beside its form"
+    assert text_of("<body><form><label>Name</label><main><p>Text</p></main></form>") == "Text"
+    kept = "<article><div class='share-price'>a</div><section class='related-work'>b</section><p class='notice-board'>c</p><div class='share-buttons'>x</div><ul class='related-posts'><li>y</ul></article>"
+    assert text_of(kept) == "a\n\nb\n\nc"
+    assert text_of("<ul><li>a<li>b<li>c</ul><dl><dt>d<dd>e</dl>") == "a\n\nb\n\nc\n\nd\n\ne"
+
+
+@pytest.mark.parametrize("source", ["<div>" * 50_000 + "</x>" * 50_000, "<b>" + "<div>" * 50_000 + "</b>" * 50_000, "<p><b>a" * 50_000, "<i>" * 50_000 + "a" + "</i>" * 50_000, "<ul>" + "<li>" * 100_000])
+def test_html_of_many_tags(source):
+    import time
+
+    began = time.process_time()
+    text_of(source)
+    assert time.process_time() - began < 3
 
 
 def test_page_differencing(spark):
     body = lambda own: f"<p>Shared line above</p><p>{own} and a good deal of text of its own</p><p>Shared line below</p>"
-    rows = [(1, "http://h.org/a/1", PAGE.format(body("First")), 1), (2, "http://h.org/a/2", PAGE.format(body("Second")), 1), (3, "http://other.org/a/1", PAGE.format(body("Third")), 1), (4, None, None, 1), (5, "", "", 1), (6, "http://c.org/x", PAGE.format(body("Same")), 1), (7, "http://c.org/x", PAGE.format(body("Same")), 1)]
+    rows = [(1, "http://h.org/a/1", PAGE.format(body("First")), 1), (2, "http://h.org/a/2", PAGE.format(body("Second")), 1), (3, "http://other.org/a/1", PAGE.format(body("Third")), 1), (4, None, None, 1), (5, "", "", 1), (6, "http://c.org/x", PAGE.format(body("Same")), 1), (7, "http://c.org/x", PAGE.format(body("Same")), 1), (None, None, PAGE.format(body("Lone")), 1), (7, "http://c.org/x", PAGE.format(body("Same")), 1)]
     got = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string, host int")).collect()}
     assert got[1] == "First and a good deal of text of its own"
     assert got[3].count("\n\n") == 2, "no neighbour on its host"
@@ -85,6 +107,60 @@ def test_page_differencing(spark):
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def common_by_table(a, b):
+    """Positions in ``a`` of a longest common subsequence, from the plain table."""
+    size = np.zeros((len(a) + 1, len(b) + 1), int)
+    for i in range(len(a)):
+        for j in range(len(b)):
+            size[i + 1, j + 1] = size[i, j] + 1 if a[i] == b[j] else max(size[i, j + 1], size[i + 1, j])
+    i, j, out = len(a), len(b), set()
+    while i and j:
+        if a[i - 1] == b[j - 1]:
+            i, j = i - 1, j - 1
+            out.add(i)
+        elif size[i - 1, j] >= size[i, j - 1]:
+            i -= 1
+        else:
+            j -= 1
+    return out
+
+
+def test_differencing_against_brute_force(spark):
+    rng = random.Random(17)
+    pages, texts = [], []
+    for page in range(260):
+        host = rng.choice(["a.org", "a.org", "a.org", "b.org", "c.org"])
+        path = "/" + "/".join(rng.choice("xyz") for _ in range(rng.randrange(3)))
+        if texts and rng.random() < 0.3:
+            lines = rng.choice(texts)  # copies, next to each other or not
+        else:
+            inside = [f"Own line {page} {k} of some length" for k in range(rng.randrange(4))]
+            lines = [("menu of " + host, 0)] + [(x, 2) for x in ["Lead of " + host] * (rng.random() < 0.7) + inside + ["Quoted by many"] * (rng.random() < 0.3)] + [("foot of " + host, 0)] * (rng.random() < 0.8) + [(f"Outside {page}", 0)] * (rng.random() < 0.2)
+            texts.append(lines)
+        out = "".join(f"<p>{x}</p>" for x, r in lines if r == 0 and x.startswith("menu")) + "<article>" + "".join(f"<p>{x}</p>" for x, r in lines if r == 2) + "</article>" + "".join(f"<p>{x}</p>" for x, r in lines if r == 0 and not x.startswith("menu"))
+        pages.append((page, f"http://{host}{path}", out, host, path, lines))
+    pages.sort(key=lambda p: (p[3], p[4], p[0]))
+    want = {}
+    for i, (page, _, _, host, path, lines) in enumerate(pages):
+        near = []
+        for step in (-1, 1):
+            j = i + step
+            while 0 <= j < len(pages) and pages[j][3] == host and pages[j][5] == lines:
+                j += step
+            near.append(pages[j] if 0 <= j < len(pages) and pages[j][3] == host else None)
+        score = [-1 if p is None else next((k for k, (x, y) in enumerate(zip(p[4], path)) if x != y), min(len(p[4]), len(path))) for p in near]
+        if score[1] > score[0]:
+            near.reverse()
+        shared = [common_by_table([x for x, _ in lines], [x for x, _ in p[5]]) if p else set() for p in near]
+        own = [(x, r) for k, (x, r) in enumerate(lines) if (r == 0 and k not in shared[0]) or (r == 2 and not (k in shared[0] and k in shared[1]))]
+        inside, outside = (sum(len(x) for x, r in own if r == kind) for kind in (2, 0))
+        want[page] = "\n\n".join(x for x, r in own if r == 2 or inside < outside or not inside)
+    frame = spark.createDataFrame([p[:3] for p in pages], "page_id long, url string, html string").repartition(5)
+    for ranges in (1, 4, 64):
+        assert {r["page_id"]: r["text"] for r in html_text.extract(frame, ranges).collect()} == want
+    assert len({t for t in want.values()}) > 100 and not all("Lead of" in t for t in want.values())
+
+
 def test_common_lines(monkeypatch):
     rng = random.Random(5)
     for cells in (1 << 26, 6):
@@ -134,6 +210,13 @@ def test_huffman_files(spark):
         at += len(ids)
     none = huffman.write_files(huffman.materialize(huffman.encode_ids(rows.limit(0)), "ids"), scratch(spark, "t"))
     assert huffman.read_files(none).count() == 0
+    clash = "doc_id long, text string, part int, n int, ids int, before int, start int"
+    some = spark.createDataFrame([(i, t, 1, 2, 3, 4, 5) for i, t in [*ODD, (-5, "below zero"), (None, None)]], clash)
+    back = huffman.read_files(huffman.write_files(huffman.materialize(huffman.encode_ids(some), "ids"), scratch(spark, "t"))).orderBy("start").collect()
+    assert [r["doc_id"] for r in back] == [None, None, -5, 1, 2, 3, 4, 5, 6, 7, 8, 9, 9]
+    assert [r["start"] for r in back] == [sum(x["n_tokens"] for x in back[:k]) for k in range(len(back))]
+    with pytest.raises(TypeError):
+        huffman.encode_ids(spark.createDataFrame([("a", "b")], "doc_id string, text string"))
 
 
 # 4
@@ -152,6 +235,28 @@ def test_piece_scan_equals_library():
         assert pieces.decode(np.array(want, int)) == text.replace("▁", " ")
 
 
+def test_scan_carries_states():
+    """Cuts fall inside words, so that boundaries have several states, and chunks' own lattices give the library's ids."""
+    pieces = piece_scan.Pieces(token_counts.vocabulary(piece_scan.MODEL))
+    rng = random.Random(8)
+    text = " ".join("".join(rng.choice(["in", "ter", "na", "tion", "al", "ed", "é"]) for _ in range(rng.randrange(1, 5))) for _ in range(3000))
+    normal = piece_scan.normalized(text)
+    cuts = piece_scan.cuts_of(normal, 512)
+    chunks = [piece_scan.Chunk(pieces, normal, a, b) for a, b in zip(cuts, cuts[1:])]
+    matrices = [c.matrix() for c in chunks]
+    assert sum(not pieces.hard(normal, c) for c in cuts) > len(cuts) // 2
+    assert sum(min(m.shape) > 1 for m in matrices) > len(matrices) // 4
+    words = pieces.words
+    pieces.encode_words = None  # the library encodes no word here
+    states = piece_scan.best_states(matrices)
+    whole = b"".join(c.backtrace(c.entries[s], c.exits[e]) for c, s, e in zip(chunks, states, states[1:]))
+    rest = [(piece_scan.Chunk(pieces, *c.rest()), c.inside()) for c in chunks]
+    assert b"".join(c.backtrace(c.entries[s], c.exits[e], i) for (c, i), s, e in zip(rest, states, states[1:])) == whole
+    assert not words and np.frombuffer(whole, "<u4").tolist() == pieces.sp.encode(text)
+    score = sum(pieces.sp.get_score(i) for i in pieces.sp.encode(text))
+    assert piece_scan.scan(matrices)[-1].max() == pytest.approx(score), "the product of all matrices is the score of the text"
+
+
 def test_scan_is_associative():
     rng = np.random.default_rng(0)
     mats = [rng.integers(0, 9, (a, b)).astype(float) for a, b in zip([1, 3, 2, 4, 2, 5], [3, 2, 4, 2, 5, 1])]
@@ -170,6 +275,7 @@ def test_piece_documents(spark):
     for r in got:
         assert np.frombuffer(r["ids"], "<u4").tolist() == (pieces.sp.encode(r["text"]) if r["text"] else [])
     assert piece_scan.describe(piece_scan.encode(odd(spark)), "doc_id").where("not round_trip").count() == 0
+    assert not piece_scan.describe(piece_scan.encode(spark.createDataFrame([(1, "a▁b")], "doc_id long, text string")), "doc_id").first()["round_trip"]
     assert piece_scan.encode(odd(spark).limit(0)).count() == 0
 
 
@@ -315,39 +421,95 @@ def test_token_counts(spark):
     assert all(r["over_limit"] == (r["n_tokens"] > 2048) for r in got)
 
 
+    clash = spark.createDataFrame([(1, "one two", 1, 2, 3)], "doc_id long, text string, n_tokens int, cut_chars int, over_limit int")
+    assert token_counts.token_counts(clash, limit=1).collect()[0].asDict() == {"doc_id": 1, "n_bytes": 7, "n_tokens": 2, "over_limit": True, "cut_chars": 4}
+    assert token_counts.token_counts(clash.limit(0)).count() == 0
+
+
+def library_count(encoder, text):
+    return len(encoder.tokenizer.encode(text, add_special_tokens=False).ids)
+
+
 def test_every_prefix_count():
     encoder = WordTokenizer(token_counts.vocabulary(), max_words=3)
-    for text in ["Hello wörld it's 123 <|endoftext|>foo  \n\tZZ'll é ΑΣ", "", "  ", "a b c d e f g a b c"]:
+    rng = random.Random(4)
+    parts = ["a", "th", "in", "'", "'s", "'re", "<|endoftext|>", "<|", "!", "e\u0301", "é", "\u0301", "中文", "ΑΣ", "  ", "\n", "1", "²", "İ", "한국", "\u11a8", "_", "\x1f", "🙂", "ll", "\u3000"]
+    texts = ["Hello wörld it's 123 <|endoftext|>foo  \n\tZZ'll é ΑΣ", "", "  ", "a b c d e f g a b c", "'re\u0301 'l", "x" * 70 + "'re\u0301"]
+    for k in range(120):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(30)))
+        long = rng.choice(["thein", "中文日", "!?", "%"]) * rng.randrange(60) if k % 3 else "".join(rng.choice("abcdetinghrs") for _ in range(90))
+        texts.append(long + text)
+    for text in texts:
         counts = encoder.prefix_counts(text)
         want = [len(i) for i in reference_ids([text[:n] for n in range(len(text) + 1)])]
         assert [counts.count(n) for n in range(len(text) + 1)] == want
-        assert want[counts.cut_for(3)] <= 3
+        for budget in (0, 1, 3, 20):
+            assert encoder.prefix_counts(text).cut_for(budget) == max(n for n, w in enumerate(want) if w <= budget)
+
+
+def test_long_words():
+    encoder, rng = WordTokenizer(token_counts.vocabulary()), random.Random(2)
+    for text in ("".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(200_000)), "ab" * 200_000, "e" + "\u0301" * 20_000, "?" * 300_000):
+        counts = encoder.prefix_counts(text)
+        cut = counts.cut_for(2048)
+        assert counts.total == library_count(encoder, text) > 2048
+        assert library_count(encoder, text[:cut]) <= 2048 < min(library_count(encoder, text[: cut + n]) for n in (1, 2, 3, 40))
 
 
 # 8
 
 
-def test_mixing(spark):
+def solved_rates(n, p, targets, most):
+    """The rates of the stated least-squares problem, by many plain projected gradient steps."""
+    share = n / n.sum()
+    want = np.array(targets) / sum(targets)
+    mass = share @ p
+    goal = want * min(m / w for m, w in zip(mass, want) if w > 0)
+    weight, r = 1 / np.maximum(mass, 1e-6), np.ones(len(n))
+    r = np.minimum(r, most)
+    for _ in range(40_000):
+        r = np.clip(r - 0.3 * (p @ (weight * ((share * r) @ p - goal)) + mixing.RIDGE * (r - 1)), 0, most)
+    return r, goal * n.sum()
+
+
+@pytest.mark.parametrize("most", [math.inf, 1.0])
+def test_mixing(spark, most):
     rng = random.Random(1)
     words = {"good": ["river", "stone", "leaf"], "poor": ["zz%%", "qq$$", "xx##"], "toxic": ["scum", "idiot", "moron"]}
-    text = lambda d: " ".join(rng.choice(words[d]) for _ in range(rng.randint(20, 60)))
+    text = lambda d: " ".join(rng.choice(words[d if rng.random() < 0.6 else "good"]) for _ in range(rng.randint(20, 60)))
     kinds = [rng.choices(list(words), [6, 3, 1])[0] for _ in range(400)]
-    rows = [(i, text(k)) for i, k in enumerate(kinds)] + [(900, None), (901, ""), (None, "river")]
+    rows = [(i, text(k)) for i, k in enumerate(kinds)] + [(900, None), (901, ""), (None, "river"), (902, "river 河 " * 100_000), (903, "scum " * 300), (903, "scum " * 300)]
     frame = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, p int, rate int")
     labels = spark.createDataFrame([(i, int(k != "poor"), int(k == "toxic")) for i, k in enumerate(kinds) if i % 2] + [(None, 1, 0), (3, None, None)], "doc_id long, quality int, toxic int")
-    out = mixing.mix(frame, frame, labels, mixing.label_domain(), {"good": 0.8, "poor": 0.2})
-    got = {r["doc_id"]: r for r in out.collect()}
-    assert len(got) == 403 and all(r["rate"] >= 0 for r in got.values())
-    total = sum(r["n_tokens"] * r["rate"] for r in got.values())
-    shares = [sum(r["n_tokens"] * r["rate"] * r["p"][d] for r in got.values()) / total for d in range(3)]
-    assert shares == pytest.approx([0.8, 0.2, 0.0], abs=0.02)
-    assert all(got[i]["rate"] < 0.1 for i, k in enumerate(kinds) if k == "toxic")
-    kept = mixing.keep_mixed(frame, labels, mixing.label_domain(), {"good": 0.8, "poor": 0.2})
-    assert kept.columns == frame.columns and 0 < kept.count() < 403
-    assert mixing.mix(frame, frame, labels.limit(0), mixing.label_domain(), {"good": 1}).where("rate = 1").count() == 403
+    targets = {"good": 0.8, "poor": 0.2}
+    out = mixing.mix(frame, frame, labels, mixing.label_domain(), targets, most=most).collect()
+    assert len(out) == len(rows) and all(0 <= r["rate"] <= most for r in out)
+    got = {r["doc_id"]: r for r in out}
+    names, priors, table = mixing.fit(frame, labels, mixing.label_domain())
+    for i, text in rows:
+        found = [w for w in (text or "").lower().split(" ") if w]
+        assert got[i]["n_tokens"] == -(-len((text or "").encode()) // 4)
+        signed = [(x := xxhash.xxh64_intdigest(w, 42)) - (x >> 63 << 64) for w in found]
+        scores = [p + sum(row[h % mixing.BUCKETS] - table[0][h % mixing.BUCKETS] for h in signed) / max(1, len(found)) ** 0.5 for p, row in zip(priors, table)]
+        odds = np.exp(np.array(scores) - max(scores))
+        assert got[i]["p"] == pytest.approx((odds / odds.sum()).tolist(), abs=1e-6)
+    n, p = np.array([r["n_tokens"] for r in out], float), np.array([r["p"] for r in out])
+    rates, wanted = solved_rates(n, p, [targets.get(d, 0) for d in names], most)
+    assert [r["rate"] for r, x in zip(out, n) if x] == pytest.approx(rates[n > 0].tolist(), abs=0.03)
+    assert out[0]["wanted"] == pytest.approx(wanted.tolist(), rel=1e-6)
+    assert out[0]["reached"] == pytest.approx(((n * [r["rate"] for r in out]) @ p).tolist(), rel=1e-6, abs=1e-3)
+    kept = mixing.keep_mixed(frame, labels, mixing.label_domain(), targets)
+    assert kept.columns == frame.columns and 0 < kept.count() < len(rows)
+    assert mixing.mix(frame, frame, labels.limit(0), mixing.label_domain(), {"good": 1}).where("rate = 1").count() == len(rows)
     assert mixing.mix(frame.limit(0), frame, labels, mixing.label_domain(), {"good": 1}).count() == 0
 
 
+def test_mixing_says_when_it_does_not_settle(spark):
+    rows = spark.createDataFrame([(1, 10, [0.6, 0.4]), (2, 30, [0.1, 0.9])], "doc_id long, n_tokens long, p array<double>")
+    with pytest.raises(RuntimeError):
+        mixing.solve_rates(rows, [0.9, 0.1], steps=2)
+
+
 # 9
 
 
