@@ -1,4 +1,4 @@
-"""Phenology of one pixel's series, as array expressions; a missing step is NULL."""
+"""Phenology of one pixel's series, as array expressions; a step that is NULL, NaN or infinite is missing."""
 
 from __future__ import annotations
 
@@ -8,8 +8,18 @@ from pyspark.sql import functions as F
 BARE, GREEN, LEAST_VALID = 0.45, 0.60, 8
 
 
+def finite(x: Column) -> Column:
+    # NaN is above every number here.
+    return x.isNotNull() & (F.abs(x) < float("inf"))
+
+
+def known(s: Column) -> Column:
+    """The series with every missing step as NULL."""
+    return F.transform(s, lambda x: F.when(finite(x), x))
+
+
 def valid(s: Column) -> Column:
-    return F.filter(s, lambda x: x.isNotNull() & ~F.isnan(x))
+    return F.filter(s, finite)
 
 
 def quantile(s: Column, q: float) -> Column:
@@ -75,6 +85,7 @@ def features(s: Column, names: list[str] | None = None) -> list[Column]:
     names = list(FEATURES) if names is None else names
     if unknown := [n for n in names if n not in FEATURES]:
         raise ValueError(f"unknown features {unknown}")
+    s = known(s)
     enough = (F.size(s) >= 3) & (F.size(valid(s)) >= LEAST_VALID)
     return [F.when(enough, FEATURES[n](s)).alias(n) for n in names]
 

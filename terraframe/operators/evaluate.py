@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.spectral import confusion_scores
+from ..sources.sinks import shared_folder
 
 
 def confusion(frame: DataFrame, keys: list[str], actual: Column, predicted: Column) -> DataFrame:
@@ -28,24 +29,44 @@ def roc_auc(frame: DataFrame, keys: list[str], actual: Column, prob: str) -> Dat
     return got.select(*keys, F.try_divide("_u", (F.col("_p") * F.col("_n")).cast("double")).alias("auc"))
 
 
+def running_totals(steps: DataFrame, prob: str, names: list[str]) -> DataFrame:
+    """``steps`` with sums of ``names`` over all rows of at least the row's score (run_*), and over all rows (all_*).
+
+    Rows are dealt by range of the score; each range adds what the ranges above it hold, so no
+    task has all scores.
+    """
+    path = shared_folder(steps.sparkSession, "scores")
+    steps.repartitionByRange(F.desc(prob)).withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    ranged = steps.sparkSession.read.parquet(path)
+    parts = ranged.groupBy("_part").agg(*[F.sum(n).alias(n) for n in names])  # a row a range
+    above = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("_part", *[F.coalesce(F.sum(n).over(above), F.lit(0)).alias(f"_{n}") for n in names], *[F.sum(n).over(Window.partitionBy()).alias(f"all_{n}") for n in names])
+    upto = Window.partitionBy("_part").orderBy(F.desc(prob)).rowsBetween(Window.unboundedPreceding, 0)
+    return ranged.withColumns({f"run_{n}": F.sum(n).over(upto) for n in names}).join(F.broadcast(parts), "_part").withColumns({f"run_{n}": F.col(f"run_{n}") + F.col(f"_{n}") for n in names}).drop("_part", *[f"_{n}" for n in names])
+
+
 def pr_curve(frame: DataFrame, actual: Column, prob: str) -> DataFrame:
     """Precision, recall, true- and false-positive rate at each distinct threshold."""
-    upto = Window.orderBy(F.desc(prob)).rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy()
-    steps = score_steps(frame, [], actual, prob).withColumns({"tp": F.sum("pos").over(upto), "fp": F.sum("neg").over(upto), "_p": F.sum("pos").over(whole), "_n": F.sum("neg").over(whole)})
-    return steps.select(prob, "tp", "fp", (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"), F.try_divide("tp", "_p").alias("recall"), F.try_divide("fp", "_n").alias("fpr"))
+    steps = running_totals(score_steps(frame, [], actual, prob), prob, ["pos", "neg"])
+    steps = steps.select(prob, "pos", F.col("run_pos").alias("tp"), F.col("run_neg").alias("fp"), F.col("all_pos").alias("_p"), F.col("all_neg").alias("_n"))
+    return steps.select(prob, "tp", "fp", (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"), F.try_divide("tp", "_p").alias("recall"), F.try_divide("fp", "_n").alias("fpr"), F.try_divide("pos", "_p").alias("gained"))
 
 
 def average_precision(curve: DataFrame, prob: str) -> DataFrame:
-    before = F.coalesce(F.lag("recall").over(Window.orderBy(F.desc(prob))), F.lit(0.0))
-    return curve.select(((F.col("recall") - before) * F.col("precision")).alias("a")).agg(F.sum("a").alias("average_precision"))
+    """Sum of precision times the recall that each threshold adds."""
+    return curve.agg(F.sum(F.col("gained") * F.col("precision")).alias("average_precision"))
 
 
 def threshold_table(frame: DataFrame, actual: Column, prob: str, grid: list[float]) -> DataFrame:
-    """Scores at every threshold of a short grid, from one aggregation (predicted: prob >= t)."""
-    steps = score_steps(frame, [], actual, prob)
-    cut = F.broadcast(frame.sparkSession.createDataFrame([(float(t),) for t in grid], "t double"))
-    rows = steps.join(cut).groupBy("t").agg(F.sum(F.when(F.col(prob) >= F.col("t"), F.col("pos")).otherwise(0)).alias("tp"), F.sum(F.when(F.col(prob) >= F.col("t"), F.col("neg")).otherwise(0)).alias("fp"), F.sum(F.when(F.col(prob) < F.col("t"), F.col("pos")).otherwise(0)).alias("fn"))
+    """Scores at every threshold of a short grid (predicted: prob >= t): one count for each gap of the grid, summed from the top."""
+    cuts = F.array(*[F.lit(float(t)) for t in sorted(grid)])
+    gap = F.size(F.filter(cuts, lambda t: t <= F.col(prob)))
+    gaps = score_steps(frame, [], actual, prob).groupBy(gap.alias("g")).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    every = frame.sparkSession.range(len(grid) + 1).select(F.col("id").cast("int").alias("g"))
+    full = every.join(F.broadcast(gaps), "g", "left").na.fill(0, ["pos", "neg"])  # a row a threshold
+    top, whole = Window.orderBy(F.desc("g")).rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy()
+    rows = full.select("g", F.sum("pos").over(top).alias("tp"), F.sum("neg").over(top).alias("fp"), F.sum("pos").over(whole).alias("_p")).where("g > 0")
+    rows = rows.select(F.element_at(cuts, F.col("g")).alias("t"), "tp", "fp", (F.col("_p") - F.col("tp")).alias("fn"))
     p, r, f = confusion_scores(F.col("tp"), F.col("fp"), F.col("fn"))
     return rows.select("t", "tp", "fp", "fn", p.alias("precision"), r.alias("recall"), f.alias("f1"))
 

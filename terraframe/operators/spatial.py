@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.sinks import shared_folder
+
 
 def with_cells(boxes: DataFrame, size: float, x0: str = "x0", y0: str = "y0", x1: str = "x1", y1: str = "y1") -> DataFrame:
     """One row for each grid cell that a box touches: gx, gy."""
@@ -54,40 +57,99 @@ def dilate(cells: DataFrame, within: DataFrame, eight: bool) -> DataFrame:
     return neighbours(cells, eight).join(within.select("r", "c"), ["r", "c"], "left_semi")
 
 
+#: Side of the tiles that components are labelled in, in cells.
+TILE = 256
+
+
 def _checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage in the folder of ``spark.checkpoint.dir``; a folder of its own where that is unset."""
-    import tempfile
+    """Cut lineage through a table in the shared folder."""
+    path, schema = shared_folder(df.sparkSession, "cells"), df.schema
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
+
 
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="terraframe-"))
-    return df.checkpoint()
+def _steps(eight: bool) -> list[tuple[int, int]]:
+    """Moves to the neighbours of a cell that come after it in row order."""
+    return [(0, 1), (1, 0), *([(1, -1), (1, 1)] if eight else [])]
 
 
-def components(cells: DataFrame, eight: bool = False, row: str = "r", col: str = "c") -> DataFrame:
-    """(r, c, component) of connected cells; component is the smallest run id of the blob.
+def _root_labels(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Smallest number of each component of the graph on 0..n-1 with edges u-v."""
+    label = np.arange(n)
+    while len(u):
+        low = np.minimum(label[u], label[v])
+        np.minimum.at(label, label[u], low)
+        np.minimum.at(label, label[v], low)
+        while (label[label] != label).any():
+            label = label[label]
+        apart = label[u] != label[v]
+        u, v = u[apart], v[apart]
+    return label
 
-    Rows become runs of adjacent cells, runs that touch in consecutive rows are linked, and labels
-    are lowered along links with pointer jumping until nothing changes.
+
+def contract(links: DataFrame) -> DataFrame:
+    """(id, root) for both ends of ``links`` (id, other): root is the smallest end reachable.
+
+    Every end hooks to its smallest neighbour, the forest is flattened by pointer jumping, and links
+    are rewritten to roots, until none is left: a few rounds, each of aggregations that combine
+    before the shuffle.
+    """
+    links, labels = _checkpoint(links), None
+    while not links.isEmpty():
+        both = links.union(links.select("other", "id"))
+        parent = _checkpoint(both.groupBy("id").agg(F.min("other").alias("low")).select("id", F.least("id", "low").alias("root")))
+        while True:
+            far = parent.select(F.col("id").alias("root"), F.col("root").alias("far"))
+            jumped = _checkpoint(parent.join(far, "root", "left").select("id", F.coalesce("far", "root").alias("root"), (F.col("far") < F.col("root")).alias("moved")))
+            moved = not jumped.where("moved").isEmpty()
+            parent = jumped.select("id", "root")
+            if not moved:
+                break
+        step = parent.select(F.col("id").alias("root"), F.col("root").alias("far"))
+        labels = parent if labels is None else labels.join(step, "root", "left").select("id", F.coalesce("far", "root").alias("root"))
+        ends = [parent.select(F.col("id").alias(c), F.col("root").alias(f"_{c}")) for c in ("id", "other")]
+        links = links.join(ends[0], "id").join(ends[1], "other").select(F.least("_id", "_other").alias("id"), F.greatest("_id", "_other").alias("other"))
+        links = _checkpoint(links.where("id <> other").distinct())
+    return links.select("id", F.col("other").alias("root")) if labels is None else labels
+
+
+def components(cells: DataFrame, eight: bool = False, row: str = "r", col: str = "c", value: str | None = None, tile: int = TILE) -> DataFrame:
+    """(r, c, component) of connected cells, of equal ``value`` if given; component is row * 2^32 + column of the first cell.
+
+    Tiles are labelled by themselves in one kernel; labels that touch across tile borders are few, and
+    only these are linked and contracted.
     """
-    island = F.col(col) - F.row_number().over(Window.partitionBy(row).orderBy(col))
-    runs = cells.select(F.col(row).alias("r"), F.col(col).alias("c"), island.alias("i")).groupBy("r", "i").agg(F.min("c").alias("a"), F.max("c").alias("b"))
-    runs = _checkpoint(runs.select(F.concat(F.lpad(F.col("r").cast("string"), 12, "0"), F.lpad(F.col("a").cast("string"), 12, "0")).alias("id"), "r", "a", "b"))
-    reach = 1 if eight else 0
-    below = runs.select(F.col("id").alias("id2"), (F.col("r") - 1).alias("r"), F.col("a").alias("a2"), F.col("b").alias("b2"))
-    links = runs.join(below, "r").where((F.col("a2") <= F.col("b") + reach) & (F.col("b2") >= F.col("a") - reach)).select("id", "id2")
-    links = _checkpoint(links.union(links.select("id2", "id")))
-    labels = runs.select("id", F.col("id").alias("label"))
-    while True:
-        near = links.join(labels.select(F.col("id").alias("id2"), "label"), "id2").groupBy("id").agg(F.min("label").alias("low"))
-        lowered = labels.join(near, "id", "left").select("id", "label", F.least("label", "low").alias("new"))
-        hop = labels.select(F.col("id").alias("new"), F.col("label").alias("far"))
-        step = _checkpoint(lowered.join(hop, "new").select("id", "label", F.least("new", "far").alias("new")))
-        changed = not step.where("new <> label").isEmpty()
-        labels = step.select("id", F.col("new").alias("label"))
-        if not changed:
-            break
-    return runs.join(labels, "id").select("r", F.explode(F.sequence("a", "b")).alias("c"), F.col("label").alias("component"))
+    names = ["r", "c"] + (["v"] if value else [])
+    base = cells.select(F.col(row).cast("bigint").alias("r"), F.col(col).cast("bigint").alias("c"), *([F.col(value).cast("bigint").alias("v")] if value else []))
+    at = [F.floor(F.col(x) / tile).cast("bigint").alias(f"t{x}") for x in ("r", "c")]
+
+    def label(frame: pd.DataFrame) -> pd.DataFrame:
+        r, c = frame["r"].to_numpy(), frame["c"].to_numpy()
+        order = np.lexsort((c, r))
+        r, c = r[order], c[order]
+        v = frame["v"].to_numpy()[order] if value else np.zeros(len(r), np.int64)
+        place = np.full((int(r.max() - r.min()) + 2, int(c.max() - c.min()) + 3), -1)
+        y, x = r - r.min(), c - c.min() + 1
+        place[y, x] = np.arange(len(r))
+        u, w = [], []
+        for i, j in _steps(eight):
+            near = place[y + i, x + j]
+            met = np.nonzero((near >= 0) & (v[np.maximum(near, 0)] == v))[0]
+            u.append(met)
+            w.append(near[met])
+        root = _root_labels(len(r), np.concatenate(u), np.concatenate(w))
+        out = {"r": r, "c": c, "label": (r[root] << 32) + c[root]}
+        return pd.DataFrame(out | ({"v": v} if value else {}))
+
+    schema = "r bigint, c bigint, label bigint" + (", v bigint" if value else "")
+    tiled = _checkpoint(base.distinct().withColumns({"tr": at[0], "tc": at[1]}).groupBy("tr", "tc").applyInPandas(label, schema))
+    edge = tiled.where(f"r % {tile} in (0, {tile - 1}) or c % {tile} in (0, {tile - 1})")
+    moves = F.explode(F.array(*[F.struct((F.col("r") + i).alias("r"), (F.col("c") + j).alias("c")) for i, j in _steps(eight)]))
+    ahead = edge.select(F.col("label").alias("a"), *([F.col("v")] if value else []), moves.alias("x")).select("a", *names[2:], "x.r", "x.c")
+    met = ahead.join(edge.select(*names, F.col("label").alias("b")), names).where("a <> b")
+    links = met.select(F.least("a", "b").alias("id"), F.greatest("a", "b").alias("other")).distinct()
+    roots = contract(links)
+    return tiled.join(roots, tiled["label"] == roots["id"], "left").select("r", "c", F.coalesce("root", "label").alias("component"), *([F.col("v")] if value else []))
 
 
 def drop_small(labelled: DataFrame, least: int) -> DataFrame:
@@ -102,13 +164,7 @@ def sieve(grid: DataFrame, least: int, nodata: int = 255, eight: bool = False, v
     Components are per class. A neighbour must be valid; ties go to the smaller component id.
     """
     known = grid.where(F.col(value) != nodata)
-    parts = None
-    for (v,) in known.select(value).distinct().orderBy(value).collect():  # classes of a map
-        one = components(known.where(F.col(value) == v), eight).withColumn("cls", F.lit(v))
-        parts = one if parts is None else parts.unionByName(one)
-    if parts is None:
-        return grid.withColumn("sieved", F.col(value))
-    parts = _checkpoint(parts.withColumn("component", F.concat_ws(":", "cls", "component")))
+    parts = _checkpoint(components(known, eight, value=value).withColumnRenamed("v", "cls"))
     sizes = parts.groupBy("component", "cls").agg(F.count(F.lit(1)).alias("n"))
     steps = [(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1) if (i or j) and (eight or i == 0 or j == 0)]
     near = parts.select(F.col("component").alias("mine"), F.explode(F.array(*[F.struct((F.col("r") + i).alias("r"), (F.col("c") + j).alias("c")) for i, j in steps])).alias("x")).select("mine", "x.r", "x.c")

@@ -33,7 +33,7 @@ def query(name: str, sql: str | None = None, uses: tuple[str, ...] = ()):
         QUERIES[name] = (lambda spark, sf_dir: f(*[fixtures.load(spark, sf_dir, u) for u in uses])) if uses else f
         if sql is not None:
             ctes = [fixtures.oracle({"series": "long"}.get(u, u)) for u in dict.fromkeys(uses)]
-            ORACLES[name] = (f"WITH {', '.join(ctes)} " if ctes else "") + sql
+            ORACLES[name] = (f"WITH {'RECURSIVE ' * ('USING KEY' in sql)}{', '.join(ctes)} " if ctes else "") + sql
         return f
 
     return add
@@ -232,16 +232,16 @@ def _(s):
 
 
 def _full_sql() -> str:
-    rows = smooth.full_valid_matrix(8, 0.5)
+    rows = smooth.full_valid_matrix(64, 0.5)
     values = ", ".join(f"({i}, {j}, {w!r})" for i, row in enumerate(rows) for j, w in enumerate(row))
-    return f""", m AS (SELECT * FROM (VALUES {values}) AS t(i, j, w)), y AS (SELECT pixel_id, step, coalesce(v, 0.5) AS v FROM long WHERE step < 8)
+    return f""", m AS (SELECT * FROM (VALUES {values}) AS t(i, j, w)), y AS (SELECT pixel_id, step, coalesce(v, 0.5) AS v FROM long)
 SELECT pixel_id, i AS step, round(sum(w * v), 6) AS z FROM y JOIN m ON y.step = m.j GROUP BY pixel_id, i"""
 
 
 @query("ar3_whittaker_constant", _full_sql(), ("series",))
 def _(s):
-    whole = F.transform(F.slice("s", 1, 8), lambda x: F.coalesce(x, F.lit(0.5)))
-    z = s.select("pixel_id", F.posexplode(smooth.smooth_full(whole, smooth.full_valid_matrix(8, 0.5))).alias("step", "z"))
+    whole = F.transform("s", lambda x: F.coalesce(x, F.lit(0.5)))
+    z = s.select("pixel_id", F.posexplode(smooth.smooth_full(whole, smooth.full_valid_matrix(64, 0.5))).alias("step", "z"))
     return rounded(z, "z")
 
 
@@ -267,10 +267,10 @@ def _(s):
     return out.orderBy("rmse", "pixel_id").limit(10)
 
 
-@query("ar17_full_outer_merge", "SELECT coalesce(a.day, b.day) AS day, CAST(a.n AS BIGINT) AS raw, CAST(b.n AS BIGINT) AS smooth FROM (SELECT day, count(*) AS n FROM obs WHERE scl < 2 GROUP BY day) a FULL JOIN (SELECT day, count(*) AS n FROM obs WHERE scl = 5 AND pixel_id < 4 GROUP BY day) b ON a.day = b.day", ("obs",))
+@query("ar17_full_outer_merge", "SELECT coalesce(a.day, b.day) AS day, CAST(a.n AS BIGINT) AS raw, CAST(b.n AS BIGINT) AS smooth FROM (SELECT day, count(*) AS n FROM obs WHERE scl < 2 GROUP BY day) a FULL JOIN (SELECT day, count(*) AS n FROM obs WHERE scl = 5 GROUP BY day) b ON a.day = b.day", ("obs",))
 def _(obs):
     a = obs.where("scl < 2").groupBy("day").agg(F.count(F.lit(1)).alias("raw"))
-    b = obs.where("scl = 5 and pixel_id < 4").groupBy("day").agg(F.count(F.lit(1)).alias("smooth"))
+    b = obs.where("scl = 5").groupBy("day").agg(F.count(F.lit(1)).alias("smooth"))
     return a.join(b, "day", "full").select("day", "raw", "smooth")
 
 
@@ -596,19 +596,19 @@ def _(fields):
     return rounded(rounded(stats.share_of_column(rows, "origin", "layer", "acres"), "pct", n=5), "total", n=4)
 
 
-@query("ag35_robust_match", None, ("px",))
-def _(px):
-    return rounded(stats.robust_match(px, ["aoi"], "B4", "B3"), "gain", "shift", n=5)
+_ROBUST = """, q AS (SELECT aoi, quantile_cont(B4, 0.01) AS x1, quantile_cont(B4, 0.99) AS x9, quantile_cont(B3, 0.01) AS y1, quantile_cont(B3, 0.99) AS y9 FROM px GROUP BY aoi),
+i AS (SELECT px.aoi, B4 AS x, B3 AS y, B4 BETWEEN x1 AND x9 AND B3 BETWEEN y1 AND y9 AS ok, sum(CASE WHEN B4 BETWEEN x1 AND x9 AND B3 BETWEEN y1 AND y9 THEN 1 ELSE 0 END) OVER (PARTITION BY px.aoi) AS n FROM px JOIN q ON q.aoi = px.aoi),
+e AS (SELECT * FROM i WHERE ok OR n < 100), m AS (SELECT aoi, quantile_cont(x, 0.5) AS mx, quantile_cont(y, 0.5) AS my FROM e GROUP BY aoi),
+w AS (SELECT e.aoi, any_value(mx) AS mx, any_value(my) AS my, quantile_cont(abs(x - mx), 0.5) AS dx, quantile_cont(abs(y - my), 0.5) AS dy FROM e JOIN m ON m.aoi = e.aoi GROUP BY e.aoi),
+g AS (SELECT *, greatest(0.5, least(2.0, dy / nullif(dx, 0))) AS gain FROM w) SELECT aoi, round(gain, 5) AS gain, round(my - gain * mx, 5) AS shift FROM g"""
 
 
-@query("ag39_mean_imputation", "SELECT pixel_id, step, round(coalesce(v, avg(v) OVER (PARTITION BY step)), 6) AS v FROM long WHERE step < 6", ("long",))
-def _(long):
-    rows = long.where("step < 6")
-    means = F.broadcast(rows.groupBy("step").agg(F.avg("v").alias("m")))  # one row a step
-    return rounded(rows.join(means, "step").select("pixel_id", "step", F.coalesce("v", "m").alias("v")), "v")
+@query("ag35_robust_match", _ROBUST, ("px",))
+def _(px):
+    return rounded(stats.robust_match(px, ["aoi"], "B4", "B3"), "gain", "shift", n=5)
 
 
-@query("ag39_mean_imputation_all_steps", "SELECT pixel_id, step, round(coalesce(v, avg(v) OVER (PARTITION BY step)), 6) AS v FROM long", ("long",))
+@query("ag39_mean_imputation", "SELECT pixel_id, step, round(coalesce(v, avg(v) OVER (PARTITION BY step)), 6) AS v FROM long", ("long",))
 def _(long):
     means = F.broadcast(long.groupBy("step").agg(F.avg("v").alias("m")))  # one row a step
     return rounded(long.join(means, "step").select("pixel_id", "step", F.coalesce("v", "m").alias("v")), "v")
@@ -710,9 +710,9 @@ def _(fields):
     return pairs.select("l_field_id", "r_field_id", spatial.overlap_area().alias("area"))
 
 
-@query("jn6_overlay_share", ", b AS (SELECT field_id, x0, y0, x1, y1 FROM fields WHERE x1 - x0 >= 13), s AS (SELECT a.field_id, sum((least(a.x1, b.x1) - greatest(a.x0, b.x0)) * (least(a.y1, b.y1) - greatest(a.y0, b.y0))) AS area FROM fields a JOIN b ON a.field_id <> b.field_id AND a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 AND b.y0 < a.y1 GROUP BY a.field_id) SELECT f.field_id, coalesce(CAST(s.area AS BIGINT), 0) AS area FROM fields f LEFT JOIN s ON f.field_id = s.field_id", ("fields",))
+@query("jn6_overlay_share", ", s AS (SELECT a.field_id, sum((least(a.x1, b.x1) - greatest(a.x0, b.x0)) * (least(a.y1, b.y1) - greatest(a.y0, b.y0))) AS area FROM fields a JOIN fields b ON a.field_id <> b.field_id AND a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 AND b.y0 < a.y1 GROUP BY a.field_id) SELECT f.field_id, coalesce(CAST(s.area AS BIGINT), 0) AS area FROM fields f LEFT JOIN s ON f.field_id = s.field_id", ("fields",))
 def _(fields):
-    hit = spatial.box_join(fields, fields.where("x1 - x0 >= 13"), 16, ("field_id", "field_id")).where("l_field_id <> r_field_id")
+    hit = spatial.box_join(fields, fields, 16, ("field_id", "field_id")).where("l_field_id <> r_field_id")
     per = hit.groupBy(F.col("l_field_id").alias("field_id")).agg(F.sum(spatial.overlap_area()).alias("area"))
     return fields.select("field_id").join(per, "field_id", "left").select("field_id", F.coalesce("area", F.lit(0)).alias("area"))
 
@@ -762,25 +762,61 @@ def _(grid):
     return spatial.dilate(grid.where("cls = 255"), grid, False)
 
 
-@query("sp1_components", None, ("grid",))
+_FOUR = "(VALUES (0, 1), (1, 0), (0, -1), (-1, 0)) d(i, j)"
+_EIGHT = "(VALUES (0, 1), (1, 0), (0, -1), (-1, 0), (1, 1), (1, -1), (-1, 1), (-1, -1)) d(i, j)"
+
+
+def labelled_sql(name: str, cells: str, steps: str) -> str:
+    """Connected cells of equal v as a common table expression: each cell is lowered to the first cell it reaches."""
+    return (
+        f"{name}(r, c, v, id) USING KEY (r, c) AS (SELECT r, c, v, r * 4294967296 + c AS id FROM {cells} UNION (SELECT k.r, k.c, k.v, min(x.id) AS id "
+        f"FROM {name} x CROSS JOIN {steps} JOIN {cells} k ON k.r = x.r + d.i AND k.c = x.c + d.j AND k.v = x.v JOIN recurring.{name} AS cur ON cur.r = k.r AND cur.c = k.c WHERE x.id < cur.id GROUP BY k.r, k.c, k.v))"
+    )
+
+
+_CROP = ", k AS (SELECT r, c, 1 AS v FROM grid WHERE cls = 1), "
+
+
+@query("sp1_components", _CROP + labelled_sql("cc", "k", _EIGHT) + " SELECT id AS component, count(*) AS n FROM cc GROUP BY id", ("grid",))
 def _(grid):
     found = spatial.components(grid.where("cls = 1"), True)
     return found.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("sp3_size_filter", None, ("grid",))
+@query("sp2_four_connected", _CROP + labelled_sql("cc", "k", _FOUR) + " SELECT r, c, id AS component FROM cc", ("grid",))
+def _(grid):
+    return spatial.components(grid.where("cls = 1")).select("r", "c", "component")
+
+
+@query("sp3_size_filter", _CROP + labelled_sql("cc", "k", _FOUR) + " SELECT r, c, id AS component FROM cc WHERE id IN (SELECT id FROM cc GROUP BY id HAVING count(*) >= 10)", ("grid",))
 def _(grid):
     return spatial.drop_small(spatial.components(grid.where("cls = 1"), False), 10)
 
 
-@query("sp4_sieve", None, ("grid",))
+_SIEVE = (
+    ", k AS (SELECT r, c, cls AS v FROM grid WHERE cls <> 255), "
+    + labelled_sql("cc", "k", _FOUR)
+    + f""", z AS (SELECT id, any_value(v) AS v, count(*) AS n FROM cc GROUP BY id),
+t AS (SELECT a.id, arg_min(y.v, (-y.n, y.id)) AS target FROM cc a JOIN z ON z.id = a.id AND z.n < 6 CROSS JOIN {_FOUR} JOIN cc b ON b.r = a.r + d.i AND b.c = a.c + d.j AND b.id <> a.id JOIN z y ON y.id = b.id GROUP BY a.id),
+sv AS (SELECT g.r, g.c, g.cls, g.v, coalesce(t.target, g.cls) AS sieved FROM grid g LEFT JOIN cc ON cc.r = g.r AND cc.c = g.c LEFT JOIN t ON t.id = cc.id)"""
+)
+
+
+@query("sp4_sieve", _SIEVE + " SELECT r, c, cls, v, sieved FROM sv", ("grid",))
 def _(grid):
-    return spatial.sieve(grid, 6)
+    return spatial.sieve(grid, 6).select("r", "c", "cls", "v", F.col("sieved").cast("int").alias("sieved"))
 
 
-@query("sp5_strict_sieve", None, ("grid",))
+@query(
+    "sp5_strict_sieve",
+    _SIEVE + ", k2 AS (SELECT r, c, 1 AS v FROM sv WHERE cls <> 1 AND sieved = 1), " + labelled_sql("c2", "k2", _FOUR)
+    + f", u AS (SELECT DISTINCT c2.id FROM c2 CROSS JOIN {_FOUR} JOIN grid g ON g.r = c2.r + d.i AND g.c = c2.c + d.j LEFT JOIN k2 ON k2.r = g.r AND k2.c = g.c WHERE k2.r IS NULL AND g.cls <> 1)"
+    + " SELECT sv.r, sv.c, sv.sieved, CASE WHEN u.id IS NOT NULL THEN sv.cls ELSE sv.sieved END AS strict FROM sv LEFT JOIN c2 ON c2.r = sv.r AND c2.c = sv.c LEFT JOIN u ON u.id = c2.id",
+    ("grid",),
+)
 def _(grid):
-    return spatial.strict_sieve(grid, spatial.sieve(grid, 6), 1)
+    found = spatial.strict_sieve(grid, spatial.sieve(grid, 6), 1)
+    return found.select("r", "c", F.col("sieved").cast("int").alias("sieved"), F.col("strict").cast("int").alias("strict"))
 
 
 @query("sp8_resample", "SELECT CAST(floor(r / 3) AS BIGINT) AS r, CAST(floor(c / 3) AS BIGINT) AS c, round(avg(v), 6) AS v, count(v) AS n FROM (SELECT r, c, CASE WHEN cls <> 255 THEN v END AS v FROM grid) t GROUP BY 1, 2", ("grid",))
@@ -816,11 +852,10 @@ def _(s):
     return rounded(s.select("pixel_id", F.posexplode(padded).alias("step", "d")), "d")
 
 
-@query("tk14_nulls_last", "SELECT pixel_id, v, pos FROM (SELECT pixel_id, round(v, 6) AS v, row_number() OVER (ORDER BY v NULLS LAST, pixel_id) AS pos FROM long WHERE step = 5) t WHERE pos <= 40", ("long",))
+@query("tk14_nulls_last", "SELECT step, pixel_id, round(v, 6) AS v, row_number() OVER (PARTITION BY step ORDER BY v NULLS LAST, pixel_id) AS pos FROM long", ("long",))
 def _(long):
-    top = long.where("step = 5").select("pixel_id", "v").orderBy(F.asc_nulls_last("v"), "pixel_id").limit(40)
-    w = F.row_number().over(Window.orderBy(F.asc_nulls_last("v"), "pixel_id"))
-    return rounded(top.withColumn("pos", w), "v")
+    place = F.row_number().over(Window.partitionBy("step").orderBy(F.asc_nulls_last("v"), "pixel_id"))
+    return rounded(long.select("step", "pixel_id", "v", place.alias("pos")), "v")
 
 
 @query("dt7_feature_list", "SELECT item_id, CAST(3 AS INTEGER) AS n, 'NDVI' AS first FROM benchmark")

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import evaluate, spatial, vector
+from ..operators import evaluate, spatial, stats, vector
 from ..sources import sinks
-from .catalog import crop, query, rounded
+from .catalog import _EIGHT, crop, labelled_sql, query, rounded
 from .entries import _INSIDE, _covered
 
 _MEET = "a.field_id < b.field_id AND a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 AND b.y0 < a.y1"
@@ -163,11 +163,18 @@ def _(obs):
     return filled.where("red <> 0 or nir <> 0")
 
 
-@query("fi13_guard_verdict", "SELECT field_id, CASE WHEN x1 - x0 <= 10 THEN 'ok' WHEN x1 - x0 <= 12 THEN 'warn' ELSE 'refuse' END AS verdict FROM fields", ("fields",))
-def _(fields):
-    shift = (F.col("x1") - F.col("x0") - 9) / 2
-    verdict = F.when(shift <= 0.5, "ok").when(shift <= 1.5, "warn").otherwise("refuse")
-    return fields.select("field_id", verdict.alias("verdict"))
+_GUARD = """, f AS (SELECT aoi, date, 'B2' AS feature, CAST(B2 AS DOUBLE) AS x FROM px WHERE B8 > 0 UNION ALL SELECT aoi, date, 'B4', CAST(B4 AS DOUBLE) FROM px WHERE B8 > 0 UNION ALL SELECT aoi, date, 'NDVI', CAST(NDVI AS DOUBLE) FROM px WHERE B8 > 0),
+ref AS (SELECT feature, quantile_cont(x, 0.25) AS q25, quantile_cont(x, 0.5) AS q50, quantile_cont(x, 0.75) AS q75 FROM f WHERE date = '2025-11-15' GROUP BY feature),
+sh AS (SELECT m.aoi, m.date, (m.x - q50) / (q75 - q25) AS shift FROM (SELECT aoi, date, feature, quantile_cont(x, 0.5) AS x FROM f GROUP BY aoi, date, feature) m JOIN ref ON m.feature = ref.feature WHERE q50 <> 0 AND q75 > q25)
+SELECT aoi, date, round(sqrt(avg(shift * shift)), 5) AS score, CASE WHEN sqrt(avg(shift * shift)) <= 0.5 THEN 'ok' WHEN sqrt(avg(shift * shift)) <= 1.0 THEN 'warn' ELSE 'refuse' END AS verdict FROM sh GROUP BY aoi, date"""
+
+
+@query("fi13_guard_verdict", _GUARD, ("px",))
+def _(px):
+    """Verdict of the domain guard for every site and date: root mean square of the feature shifts."""
+    valid, bands = px.where("B8 > 0"), ["B2", "B4", "NDVI"]
+    ref = stats.quantile_table(valid.where("date = '2025-11-15'"), bands, F.lit("all")).where("role = 'pooled'")
+    return rounded(stats.domain_verdict(stats.domain_shift(valid, ["aoi", "date"], bands, ref), ["aoi", "date"]).select("aoi", "date", "score", "verdict"), "score", n=5)
 
 
 @query("fi15_area_bands", "SELECT field_id, (x1 - x0) * (y1 - y0) AS area FROM fields WHERE (x1 - x0) * (y1 - y0) > 80 AND (x1 - x0) * (y1 - y0) <= 140", ("fields",))
@@ -227,7 +234,7 @@ def _(grid, fields):
     return _covered(grid.where("cls = 1"), fields).where("inside is null").select("r", "c")
 
 
-@query("ag21_orphan_blobs", None, ("grid", "fields"))
+@query("ag21_orphan_blobs", ", k AS (SELECT r, c, 1 AS v FROM grid g WHERE cls = 1 AND NOT " + _INSIDE.format("") + "), " + labelled_sql("cc", "k", _EIGHT) + ", z AS (SELECT count(*) AS n FROM cc GROUP BY id) SELECT count(*) AS blobs, CAST(sum(n) AS BIGINT) AS pixels, CAST(sum(CASE WHEN n >= 6 THEN 1 ELSE 0 END) AS BIGINT) AS large, max(n) AS largest FROM z", ("grid", "fields"))
 def _(grid, fields):
     """Blobs of orphan crop pixels: number, pixels, how many are of six pixels or more, the largest."""
     loose = _covered(grid.where("cls = 1"), fields).where("inside is null").select("r", "c")

@@ -6,17 +6,10 @@ stream over what is there and returns its result table.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``; a temporary one where that is unset."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="terraframe-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+from ..sources.sinks import shared_folder
 
 
 def read_table(spark: SparkSession, path: str, files_per_trigger: int = 100) -> DataFrame:
