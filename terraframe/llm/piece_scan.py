@@ -1,20 +1,23 @@
 """SentencePiece encoding and decoding; giant documents by a max-plus scan over chunks.
 
-Encoding runs over the normalized text (blanks become U+2581, one is put in front). No piece of the
-vocabulary has U+2581 after another character, so a U+2581 behind something else starts a new word
-whatever stands around it: a *hard* boundary, where all paths meet in one state. A word's best path
-is computed once per distinct word and worker (bounded table) by the library.
-
-Elsewhere a boundary is *soft*: its states are the pieces that cover the character before it. Byte
-pair encoding has a lattice form: a sequence of pieces is the encoding of its text exactly if each
+Encoding runs over the normalized text (blanks become U+2581, one is put in front). Byte pair
+encoding has a lattice form: a sequence of pieces is the encoding of its text exactly if each
 adjacent pair is the encoding of its own text. So edges of the lattice carry the score of the
-next piece where the pair is compatible and minus infinity where it isn't, and a chunk becomes a
-matrix of best scores from every state at its left boundary to every state at its right one.
-Matrices are combined by the associative (max, +) product; the scan gives each chunk the states it
-is entered and left by, and the chunks are then backtraced independently of each other.
-
-The vocabulary is a byte-pair model, so of all segmentations only one has a finite score: the scan
-finds the library's own result, which a plain best-sum search over piece scores would not.
+next piece where the pair is compatible and minus infinity where it isn't. The vocabulary is a
+byte-pair model, so of all segmentations only one has a finite score: the scan finds the library's
+own result, which a plain best-sum search over piece scores would not.
+
+A giant document is cut every ``CHUNK_CHARS`` characters, whatever stands there. The states of a
+boundary are the pieces that cover the character before it, and a chunk becomes a matrix of best
+scores from every state at its left boundary to every state at its right one. Matrices are combined by
+the associative (max, +) product; the scan gives each chunk the states it is entered and left
+by, and the chunks are then backtraced through their own lattices, independently of each other.
+
+Between two characters that stand side by side in no piece of the vocabulary (a blank and what is
+before it, letters and most marks) all paths of the lattice meet in one state, a *hard* place. The
+lattice between two such places, a word, is searched once per distinct word and worker; its
+best score and path are kept in a bounded table. Documents of one chunk have no boundary states,
+and the library encodes their words.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +38,12 @@ from .token_counts import vocabulary
 
 CHUNK_CHARS = 8192
 GIANT_CHARS = 4 * CHUNK_CHARS
-MAX_WORDS = 200_000
+MAX_WORDS = 80_000
+MAX_PATHS = 150_000
+MAX_PAIRS = 250_000
+LONG_WORD = 64
+NO_PIECE = -1
+START = -2
 BLANK = "▁"
 MODEL = "piece_bpe_32k.model"
 NEVER = -np.inf
@@ -64,8 +73,14 @@ class Pieces:
                 self.ids[piece] = i
                 self.bytes.append(piece.replace(BLANK, " ").encode())
         self.longest = max(map(len, self.ids))
+        #: Id of a piece, or NO_PIECE for what only begins one.
+        self.begins = {p[:n]: NO_PIECE for p in self.ids for n in range(1, len(p))} | self.ids
+        self.joined = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
+        self.joined_codes = np.sort(pair_codes("".join(self.joined))[::2]) if self.joined else np.zeros(1, np.int64)
+        self.scores = [float(self.sp.get_score(i)) for i in range(len(self.bytes))]
         self.blank = self.ids.get(BLANK)
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.paths: dict[str, tuple[float, bytes]] = {}
+        self.pairs: dict[int, bool] = {}
         self.whole: dict[str, bool] = {}
         self.skip = len(self.sp.encode(GUARD))
 
@@ -102,6 +117,17 @@ class Pieces:
 
     # Lattice
 
+    def hard(self, normal: str, at: int) -> bool:
+        """Whether all paths meet before the character at ``at``."""
+        return at in (0, len(normal)) or normal[at - 1 : at + 1] not in self.joined
+
+    def hard_places(self, normal: str, begin: int, end: int) -> list[int]:
+        """Hard places between ``begin`` and ``end``, both left out."""
+        codes = pair_codes(normal[begin:end])
+        at = np.searchsorted(self.joined_codes, codes)
+        there = self.joined_codes[np.minimum(at, len(self.joined_codes) - 1)] == codes
+        return (np.nonzero(~there)[0] + begin + 1).tolist()
+
     def stable(self, piece: str) -> bool:
         """Whether ``piece`` can stand in an encoding; characters outside the vocabulary always do."""
         got = self.whole.get(piece)
@@ -114,12 +140,20 @@ class Pieces:
         return self.sp.encode(GUARD + normal.replace(BLANK, " "))[self.skip :]
 
     def compatible(self, a: str, b: str) -> bool:
-        got = self.pairs.get((a, b))
+        return self._fits(self.ids.get(a, NO_PIECE), self.ids.get(b, NO_PIECE), a, b)
+
+    def _fits(self, i: int, j: int, a: str, b: str) -> bool:
+        """Whether piece ``j`` (text ``b``) may follow piece ``i``; characters outside the vocabulary merge with nothing."""
+        if j == NO_PIECE:
+            return True
+        if i < 0:
+            return self.stable(b)
+        key = i << 20 | j
+        got = self.pairs.get(key)
         if got is None:
-            if len(self.pairs) > 4 * self.max_words:
+            if len(self.pairs) > MAX_PAIRS:
                 self.pairs.clear()
-            got = self._alone(a + b) == self.piece_ids(a) + self.piece_ids(b)
-            self.pairs[a, b] = got
+            got = self.pairs[key] = self._alone(a + b) == [i, j]
         return got
 
     def piece_ids(self, piece: str) -> list[int]:
@@ -128,11 +162,71 @@ class Pieces:
 
     def score(self, piece: str) -> float:
         i = self.ids.get(piece)
-        return float(self.sp.get_score(i)) if i is not None else 0.0
+        return self.scores[i] if i is not None else 0.0
 
     def starting(self, normal: str, at: int, end: int) -> list[int]:
         """Ends of all pieces of ``normal`` that start at ``at``, none beyond ``end``."""
-        return [e for e in range(at + 1, min(at + self.longest, end) + 1) if (e == at + 1 or normal[at:e] in self.ids) and self.stable(normal[at:e])]
+        out = [at + 1] if at < end else []
+        for e in range(at + 2, min(at + self.longest, end) + 1):
+            found = self.begins.get(normal[at:e])
+            if found is None:
+                break
+            if found != NO_PIECE and self.stable(normal[at:e]):
+                out.append(e)
+        return out
+
+    def word_path(self, word: str) -> tuple[float, bytes]:
+        """Score and ids of the best path through the lattice of one normalized word, from its first place to its last."""
+        got = self.paths.get(word)
+        if got is not None:
+            return got
+        # Nodes by the place they end at: (score, node before, piece's id, its text).
+        n, begins, pairs, scores, fits = len(word), self.begins, self.pairs, self.scores, self._fits
+        ending: list[list[tuple] | None] = [None] * (n + 1)
+        ending[0] = [(0.0, None, START, "")]
+        for at in range(n):
+            before = ending[at]
+            if before is None:
+                continue
+            for e in range(at + 1, min(at + self.longest, n) + 1):
+                piece = word[at:e]
+                j = begins.get(piece)
+                if j is None or j == NO_PIECE:
+                    if e > at + 1:
+                        if j is None:
+                            break
+                        continue
+                    j = NO_PIECE
+                best = None
+                for node in before:
+                    ok = pairs.get(node[2] << 20 | j) if node[2] >= 0 <= j else None
+                    if ok is None:
+                        ok = fits(node[2], j, node[3], piece)
+                    if ok and (best is None or node[0] > best[0]):
+                        best = node
+                if best is not None:
+                    new = (best[0] + scores[j] if j >= 0 else best[0], best, j, piece)
+                    if ending[e] is None:
+                        ending[e] = [new]
+                    else:
+                        ending[e].append(new)
+        node = max(ending[n], key=lambda node: node[0])
+        score, ids = node[0], []
+        while node[1] is not None:
+            ids.append([node[2]] if node[2] >= 0 else self._alone(node[3]))
+            node = node[1]
+        got = score, array("I", [i for part in reversed(ids) for i in part]).tobytes()
+        if len(self.paths) > MAX_PATHS:
+            self.paths.clear()
+        if n <= LONG_WORD:
+            self.paths[word] = got
+        return got
+
+
+@lru_cache(maxsize=2)
+def shared_pieces(path: str) -> Pieces:
+    """This process's tables of a model file: a Python worker keeps them from task to task."""
+    return Pieces(path)
 
 
 def word_keys(text: str) -> list[str]:
@@ -142,27 +236,24 @@ def word_keys(text: str) -> list[str]:
     return [w[1:] for w in re.findall(r" +[^ ]+| +\Z", " " + text)]
 
 
-def hard(normal: str, at: int) -> bool:
-    return at in (0, len(normal)) or (normal[at] == BLANK and normal[at - 1] != BLANK)
+def pair_codes(text: str) -> np.ndarray:
+    """One number for each two adjacent characters."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    return codes[:-1] << 21 | codes[1:]
 
 
 def cuts_of(normal: str, chunk: int) -> list[int]:
-    """Boundaries about ``chunk`` characters apart; the last hard one of a chunk if it has any."""
-    cuts = [0]
-    while len(normal) - cuts[-1] > chunk:
-        end = cuts[-1] + chunk
-        at = next((m for m in range(end, cuts[-1], -1) if hard(normal, m)), end)
-        cuts.append(at)
-    return [*cuts, len(normal)]
+    """Boundaries ``chunk`` characters apart."""
+    return [*range(0, len(normal), chunk), len(normal)]
 
 
 def states_at(pieces: Pieces, normal: str, at: int) -> list[tuple[int, int]]:
     """(start, end) of every piece that may cover the character before a boundary."""
-    if hard(normal, at):
+    if pieces.hard(normal, at):
         return [(at, at)]
     low = max(0, at - pieces.longest)
-    low = max((i for i in range(low, at) if hard(normal, i)), default=low)
-    high = next((i for i in range(at + 1, min(len(normal), at + pieces.longest) + 1) if hard(normal, i)), len(normal))
+    low = max((i for i in range(low, at) if pieces.hard(normal, i)), default=low)
+    high = next((i for i in range(at + 1, min(len(normal), at + pieces.longest) + 1) if pieces.hard(normal, i)), len(normal))
     return [(s, e) for s in range(low, at) for e in pieces.starting(normal, s, high) if e >= at]
 
 
@@ -173,9 +264,10 @@ class Chunk:
         self.pieces, self.normal, self.begin, self.end = pieces, normal, begin, end
         self.entries = states_at(pieces, normal, begin) if entries is None else entries
         self.exits = states_at(pieces, normal, end)
-        self.inner = [i for i in range(begin + 1, end) if hard(normal, i)]
-        self.first = begin if hard(normal, begin) else (self.inner[0] if self.inner else None)
-        self.last = end if hard(normal, end) else (self.inner[-1] if self.inner else self.first)
+        self.inner = pieces.hard_places(normal, begin, end)
+        #: First and last hard place of the chunk, its ends included.
+        places = [begin] * pieces.hard(normal, begin) + self.inner + [end] * pieces.hard(normal, end)
+        self.first, self.last = (places[0], places[-1]) if places else (None, None)
 
     def _walk(self, begin: int, sources: list[tuple[int, int]], end: int, limit: int):
         """Best scores from each source to each lattice node that starts in the span; back pointers.
@@ -213,15 +305,22 @@ class Chunk:
         return best, back
 
     def _limit(self, at: int) -> int:
-        return next((i for i in range(at, min(len(self.normal), at + self.pieces.longest) + 1) if hard(self.normal, i)), len(self.normal))
+        return next((i for i in range(at, min(len(self.normal), at + self.pieces.longest) + 1) if self.pieces.hard(self.normal, i)), len(self.normal))
 
     def matrix(self) -> np.ndarray:
         """(entries, exits) best scores over the chunk."""
         if self.first is None:
             return self._part(self.begin, self.entries, self.end, self.exits)
-        left = np.zeros((1, 1)) if hard(self.normal, self.begin) else self._part(self.begin, self.entries, self.first, [(self.first, self.first)])
-        right = np.zeros((1, 1)) if hard(self.normal, self.end) else self._part(self.last, [(self.last, self.last)], self.end, self.exits)
-        return max_plus(left, right)  # whole words between have one path and count the same for all
+        left = np.zeros((1, 1)) if self.pieces.hard(self.normal, self.begin) else self._part(self.begin, self.entries, self.first, [(self.first, self.first)])
+        right = np.zeros((1, 1)) if self.pieces.hard(self.normal, self.end) else self._part(self.last, [(self.last, self.last)], self.end, self.exits)
+        return max_plus(left + sum(self.pieces.word_path(w)[0] for w in self._words()), right)
+
+    def _words(self) -> list[str]:
+        """Normalized words between the first and the last hard place."""
+        marks = [self.first, *(i for i in self.inner if i > self.first)]
+        if self.last > marks[-1]:
+            marks.append(self.last)
+        return [self.normal[a:b] for a, b in zip(marks, marks[1:])]
 
     def _part(self, begin: int, sources: list, end: int, exits: list) -> np.ndarray:
         limit = self._limit(end)
@@ -236,20 +335,25 @@ class Chunk:
                 out[:, j] = best[x]
         return out
 
-    def backtrace(self, entry: tuple[int, int], leave: tuple[int, int]) -> bytes:
-        """Ids of the pieces after ``entry`` up to and with ``leave``."""
+    def inside(self) -> bytes:
+        """Ids between the first and the last hard place, which all paths share."""
+        return b"" if self.first is None else b"".join(self.pieces.word_path(w)[1] for w in self._words())
+
+    def rest(self) -> tuple[str, int, int]:
+        """(text, begin, end) of the chunk with a guard for what ``inside`` covers: all that the boundary states decide on."""
+        if self.first is None:
+            return self.normal, self.begin, self.end
+        return self.normal[: self.first] + GUARD + self.normal[self.last :], self.begin, self.end - (self.last - self.first) + 1
+
+    def backtrace(self, entry: tuple[int, int], leave: tuple[int, int], inside: bytes | None = None) -> bytes:
+        """Ids of the pieces after ``entry`` up to and with ``leave``; ``inside`` is known where this is the ``rest``."""
         if entry == leave:
-            return b""
-        soft_left, soft_right = not hard(self.normal, self.begin), not hard(self.normal, self.end)
+            return inside or b""
         if self.first is None:
             return self._path(self.begin, entry, self.end, leave)
-        out = [self._path(self.begin, entry, self.first, (self.first, self.first))] if soft_left else []
-        marks = [self.first, *(i for i in self.inner if i > self.first)]
-        if self.last > marks[-1]:
-            marks.append(self.last)
-        words = [self.normal[a:b].replace(BLANK, " ")[1:] for a, b in zip(marks, marks[1:])]
-        out += self.pieces.encode_words(words)
-        if soft_right:
+        out = [] if self.pieces.hard(self.normal, self.begin) else [self._path(self.begin, entry, self.first, (self.first, self.first))]
+        out.append(self.inside() if inside is None else inside)
+        if not self.pieces.hard(self.normal, self.end):
             out.append(self._path(self.last, (self.last, self.last), self.end, leave))
         return b"".join(out)
 
@@ -309,9 +413,9 @@ def encode_by_scan(pieces: Pieces, text: str, chunk: int) -> bytes:
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, chunk: int = CHUNK_CHARS, giant: int = GIANT_CHARS) -> DataFrame:
-    """(id_col, text, ids BINARY of little-endian uint32) of every row; null texts have no ids.
+    """(id_col, text, ids BINARY of little-endian uint32) of every row; null and empty texts have no ids.
 
-    Documents of up to ``giant`` characters are one chunk. Larger ones are cut in chunks that all
+    U+2581 in a text is encoded as a blank, as by the library, and decoded as one. Documents of up to ``giant`` characters are one chunk. Larger ones are cut in chunks that all
     tasks share; only matrices and state numbers of a document meet in one task. Ids of a document
     are joined in chunk order. Repeated rows are encoded each.
     """
@@ -320,8 +424,9 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     large = F.coalesce(F.length("text") > giant, F.lit(False))
 
     def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(path or vocabulary(MODEL))
-        for batch in batches:
+        pieces = shared_pieces(path or vocabulary(MODEL))
+        pieces.paths, pieces.pairs = {}, {}  # of giants only
+        for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
             ids = [pieces.encode(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], [id_col, "text", "ids"])
 
@@ -332,7 +437,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
 
 def _encode_giants(rows: DataFrame, id_col: str, kind: str, path: str | None, chunk: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        margin = 2 * Pieces(path or vocabulary(MODEL)).longest + 2
+        margin = 2 * shared_pieces(path or vocabulary(MODEL)).longest + 2
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(2)):
                 normal = normalized(text.as_py())
@@ -345,13 +450,16 @@ def _encode_giants(rows: DataFrame, id_col: str, kind: str, path: str | None, ch
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["row", "k", "part", "a", "b", "head", "tail"])
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(path or vocabulary(MODEL))
-        for batch in batches:
-            out = []
-            for part, a, b, head, tail in zip(*(batch.column(i).to_pylist() for i in range(2, 7))):
-                out.append(_chunk(pieces, part, a, b, head, tail).matrix())
-            columns = [batch.column(0), batch.column(1), pa.array([m.shape[0] for m in out], pa.int32()), pa.array([m.ravel().tolist() for m in out], pa.list_(pa.float64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["row", "k", "n", "m"])
+        pieces = shared_pieces(path or vocabulary(MODEL))
+        pieces.words, pieces.older = {}, {}
+        for batch in (b.slice(at, 100) for b in batches for at in range(0, b.num_rows, 100)):
+            chunks = [_chunk(pieces, *x) for x in zip(*(batch.column(i).to_pylist() for i in range(2, 7)))]
+            out = [c.matrix() for c in chunks]
+            rest = [c.rest() for c in chunks]
+            columns = [pa.array([m.shape[0] for m in out], pa.int32()), pa.array([m.ravel().tolist() for m in out], pa.list_(pa.float64()))]
+            columns += [pa.array([r[i] for r in rest], kind) for i, kind in enumerate((pa.string(), pa.int64(), pa.int64()))]
+            columns.append(pa.array([c.inside() for c in chunks], pa.binary()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["row", "k", "n", "m", "rest", "a", "b", "inside"])
 
     def choose(table: pa.Table) -> pa.Table:
         table = table.sort_by("k")
@@ -359,20 +467,21 @@ def _encode_giants(rows: DataFrame, id_col: str, kind: str, path: str | None, ch
         return pa.table({"row": table["row"], "k": table["k"], "s": pa.array(states[:-1], pa.int32()), "e": pa.array(states[1:], pa.int32())})
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(path or vocabulary(MODEL))
+        pieces = shared_pieces(path or vocabulary(MODEL))
         for batch in batches:
             out = []
-            for part, a, b, head, tail, s, e in zip(*(batch.column(i).to_pylist() for i in range(2, 9))):
-                c = _chunk(pieces, part, a, b, head, tail)
-                out.append(c.backtrace(c.entries[s], c.exits[e]))
+            for rest, a, b, inside, s, e in zip(*(batch.column(i).to_pylist() for i in range(2, 8))):
+                c = Chunk(pieces, rest, a, b)
+                out.append(c.backtrace(c.entries[s], c.exits[e], inside))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["row", "k", "ids"])
 
     keyed = materialize(rows.select(F.monotonically_increasing_id().alias("row"), id_col, "text"), "giants")
     spread = max(1, keyed.sparkSession.sparkContext.defaultParallelism)
     parts = keyed.select("row", id_col, "text").mapInArrow(cut, "row bigint, k int, part string, a bigint, b bigint, head boolean, tail boolean")
     parts = materialize(parts.repartition(spread * 4, "row", "k"), "chunks")
-    states = materialize(parts.mapInArrow(matrices, "row bigint, k int, n int, m array<double>").groupBy("row").applyInArrow(choose, "row bigint, k int, s int, e int"), "states")
-    traced = parts.join(states, ["row", "k"]).select("row", "k", "part", "a", "b", "head", "tail", "s", "e").mapInArrow(trace, "row bigint, k int, ids binary")
+    solved = materialize(parts.mapInArrow(matrices, "row bigint, k int, n int, m array<double>, rest string, a bigint, b bigint, inside binary"), "matrices")
+    states = materialize(solved.select("row", "k", "n", "m").groupBy("row").applyInArrow(choose, "row bigint, k int, s int, e int"), "states")
+    traced = solved.drop("n", "m").join(states, ["row", "k"]).select("row", "k", "rest", "a", "b", "inside", "s", "e").mapInArrow(trace, "row bigint, k int, ids binary")
     ids = traced.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("k", F.hex("ids").alias("h")))).alias("c"))  # one document's chunks
     ids = ids.select("row", F.unhex(F.concat_ws("", "c.h")).alias("ids"))
     return keyed.join(ids, "row").select(id_col, "text", "ids")
@@ -389,7 +498,7 @@ def describe(encoded: DataFrame, id_col: str, path: str | None = None) -> DataFr
     kind = encoded.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(path or vocabulary(MODEL))
+        pieces = shared_pieces(path or vocabulary(MODEL))
         for batch in batches:
             n, crc, same = [], [], []
             for text, ids in zip(batch.column(1), batch.column(2)):

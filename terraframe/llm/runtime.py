@@ -24,6 +24,8 @@ def scratch_root(spark: SparkSession) -> str:
     if sc not in _ROOTS:
         base = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
         if not base:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
             base = "file://" + tempfile.mkdtemp(prefix="terraframe-")
         root = f"{base.rstrip('/')}/terraframe-{uuid.uuid4().hex}"
         _ROOTS[sc] = root
