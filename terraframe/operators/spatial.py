@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -273,3 +275,27 @@ def tile_apply(tiles: DataFrame, key: str, worker, schema: str) -> DataFrame:
 
     names = [c.split()[0] for c in schema.split(",")]
     return tiles.groupBy(key).applyInPandas(lambda f: run(f).reindex(columns=[*names, "status"]), f"{schema}, status string")
+
+
+def tile_retry(tiles: DataFrame, key: str, worker, schema: str, attempts: int = 4, first: float = 3.0, most: float = 30.0, pause=time.sleep) -> DataFrame:
+    """``worker(frame, attempt) -> frame`` per tile, tried again after pauses of first * 2^n seconds, ``most`` at most.
+
+    Adds status (ok, or the last error), attempts and the seconds waited; a tile that fails every
+    time is a row, not a failed job.
+    """
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        waited = 0.0
+        for attempt in range(attempts):
+            try:
+                return worker(frame, attempt).assign(status="ok", attempts=attempt + 1, waited=waited)
+            except Exception as e:  # noqa: BLE001 - isolation of tiles is the feature
+                error = f"{type(e).__name__}: {e}"
+            if attempt < attempts - 1:
+                seconds = min(most, first * 2**attempt)
+                waited += seconds
+                pause(seconds)
+        return pd.DataFrame({key: [frame[key].iloc[0]], "status": [error], "attempts": [attempts], "waited": [waited]})
+
+    names = [c.split()[0] for c in schema.split(",")]
+    return tiles.groupBy(key).applyInPandas(lambda f: run(f).reindex(columns=[*names, "status", "attempts", "waited"]), f"{schema}, status string, attempts int, waited double")

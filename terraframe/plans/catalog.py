@@ -864,4 +864,4 @@ def _(spark, sf_dir):
     return table(spark, sf_dir, "benchmark").select("item_id", F.size(names).alias("n"), names[0].alias("first"))
 
 
-from . import entries, layers  # noqa: E402, F401 - register further queries with the names above
+from . import entries, layers, rasters  # noqa: E402, F401 - register further queries with the names above

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +27,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def first_that_opens(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The first of several tables that can be read; an error that names all of them if none can."""
+    failed = []
+    for path in paths:
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException as e:
+            failed.append(f"{path}: {str(e).splitlines()[0]}")
+    raise FileNotFoundError("; ".join(failed))
+
+
 def write_partitioned(df: DataFrame, path: str, keys: list[str], mode: str = "errorifexists") -> DataFrame:
     """Write one folder a key and read the table back; rows are not gathered by key first."""
     df.write.mode(mode).option("compression", "snappy").partitionBy(*keys).parquet(path)
