@@ -60,7 +60,7 @@ def test_all_steps_are_smoothed_and_imputed(spark):
     assert got.keys() == series_of.keys() and all(len(z) == 64 for z in got.values())
     for k, z in got.items():
         assert np.allclose(np.array(z, float), np.array(series_of[k], float), atol=2e-6, equal_nan=True)
-    steps = catalog.QUERIES["ag39_mean_imputation_all_steps"](spark, SF).select("step").distinct().count()
+    steps = catalog.QUERIES["ag39_mean_imputation"](spark, SF).select("step").distinct().count()
     assert steps == 64
     y = np.array([[0.1, 0.5, 0.2, 0.9, 0.4, 0.3, 0.8], [0.1, np.nan, 0.2, 0.9, np.nan, 0.3, 0.8], [np.nan] * 7])
     frame = spark.createDataFrame([(i, [None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(y)], "i int, s array<double>")
