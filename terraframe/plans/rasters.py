@@ -177,7 +177,16 @@ def to_utm(lon: Column, lat: Column, zone: int) -> tuple[Column, Column]:
     return 500000 + 0.9996 * radius * east, 0.9996 * radius * north
 
 
-@query("pr25_reproject", None, ("items",))
+def _utm_sql() -> str:
+    n = 1 / 298.257223563 / (2 - 1 / 298.257223563)
+    e, radius = 2 * n**0.5 / (1 + n), 0.9996 * 6378137 / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    a, b, c = n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16, 13 * n**2 / 48 - 3 * n**3 / 5, 61 * n**3 / 240
+    term = lambda f, g: " + ".join(f"{w!r} * {f}({2 * k} * x) * {g}({2 * k} * y)" for k, w in enumerate((a, b, c), 1))
+    return f""", u AS (SELECT item_id, radians(lon - 69.0) AS turn, radians(24 + cloud / 10.0) AS up FROM items), t AS (SELECT item_id, turn, sinh(atanh(sin(up)) - {e!r} * atanh({e!r} * sin(up))) AS t FROM u),
+v AS (SELECT item_id, atan2(t, cos(turn)) AS x, atanh(sin(turn) / sqrt(1 + t * t)) AS y FROM t) SELECT item_id, round(500000 + {radius!r} * (y + {term("cos", "sinh")}), 3) AS easting, round({radius!r} * (x + {term("sin", "cosh")}), 3) AS northing FROM v"""
+
+
+@query("pr25_reproject", _utm_sql(), ("items",))
 def _(items):
     """Item positions in UTM zone 42 north."""
     east, north = to_utm(F.col("lon").cast("double"), 24 + F.col("cloud") / 10.0, 42)
