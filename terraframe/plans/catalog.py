@@ -428,7 +428,17 @@ def _(obs):
     return rounded(q.join(one, gap <= 10).select("day", (gap + F.col("cloud_pct") / 5).alias("penalty")), "penalty", n=5)
 
 
-@query("tk3_greedy_dates", None, ("obs",))
+def _greedy_sql(n_dates: int) -> str:
+    text = ", s AS (SELECT DISTINCT pixel_id, day FROM obs WHERE scl NOT IN (0, 1, 3, 8, 9, 10, 11)), n AS (SELECT count(DISTINCT pixel_id) AS n FROM obs), d0 AS (SELECT CAST(NULL AS DATE) AS day, 0 AS c WHERE false)"
+    for k in range(1, n_dates + 1):
+        before = " UNION ALL ".join(f"SELECT day, c FROM d{i}" for i in range(k))
+        more = f" AND EXISTS (SELECT 1 FROM d{k - 1}) AND 100.0 * c / (SELECT n FROM n) >= 0.5" if k > 1 else ""
+        text += f", b{k} AS ({before}), l{k} AS (SELECT day, count(*) AS c FROM s WHERE NOT EXISTS (SELECT 1 FROM s z JOIN b{k} ON z.day = b{k}.day WHERE z.pixel_id = s.pixel_id) GROUP BY day ORDER BY c DESC, day LIMIT 1)"
+        text += f", d{k} AS (SELECT day, c FROM l{k} WHERE 100.0 * coalesce((SELECT sum(c) FROM b{k}), 0) / (SELECT n FROM n) < 99{more})"
+    return text + " " + " UNION ALL ".join(f"SELECT CAST({k} AS INTEGER) AS rank, day FROM d{k}" for k in range(1, n_dates + 1))
+
+
+@query("tk3_greedy_dates", _greedy_sql(4), ("obs",))
 def _(obs):
     return obs.sparkSession.createDataFrame(list(enumerate(compose.greedy_dates(obs, 4), 1)), "rank int, day date")
 
