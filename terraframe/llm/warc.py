@@ -167,19 +167,22 @@ def write_bundles(records: DataFrame, folder: str, frame_bytes: int = FRAME_BYTE
 def read_frames(index: DataFrame) -> DataFrame:
     """(page_id, url, payload_bytes, payload_digest, record_type, refers_to) of all records of the index.
 
-    Work is dealt by frame, so a large bundle is read by many tasks. The digest of a response is
-    taken from its body, and must equal the one in its header.
+    Work is dealt by frame, so a large bundle is read by many tasks. The index gives a frame's number,
+    the bundle's seek table its place. The digest of a response is taken from its body, and must
+    equal the one in its header.
     """
-    frames = materialize(index.groupBy("bundle", "frame_at", "frame_size").agg(F.count(F.lit(1)).alias("n")), "frames")
+    frames = materialize(index.groupBy("bundle", "frame").agg(F.count(F.lit(1)).alias("n")), "frames")
     tasks = max(1, -(-frames.count() // FRAMES_A_TASK), index.sparkSession.sparkContext.defaultParallelism)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        zstd = zstandard.ZstdDecompressor()
+        zstd, held, places = zstandard.ZstdDecompressor(), None, []
         for batch in batches:
-            for bundle, at, size, n in zip(*(c.to_pylist() for c in batch.columns)):
+            for bundle, frame, n in zip(*(c.to_pylist() for c in batch.columns)):
                 with open_shared(bundle, "rb") as file:
-                    file.seek(at)
-                    data = zstd.decompress(file.read(size))
+                    if bundle != held:
+                        held, places = bundle, seek_table(file, file.seek(0, 2))
+                    file.seek(places[frame][0])
+                    data = zstd.decompress(file.read(places[frame][1]))
                 rows, pos = [], 0
                 while pos < len(data):
                     fields, body, pos = parse(data, pos)
@@ -195,7 +198,7 @@ def read_frames(index: DataFrame) -> DataFrame:
                 names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names)
 
-    spread = frames.repartition(tasks, "bundle", "frame_at")
+    spread = frames.repartition(tasks, "bundle", "frame").sortWithinPartitions("bundle", "frame")
     return spread.mapInArrow(run, "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint")
 
 
