@@ -13,8 +13,24 @@ RATIOS = {"R43": ("B4", "B3"), "R84": ("B8", "B4"), "R85": ("B8", "B5"), "R28":
 CAPS = {"B2": 3976, "B3": 3940, "B4": 3000, "B5": 4345, "B8": 6000, "NDVI": 9571}
 SQ_M_PER_ACRE = 4046.8564224
 ACRES_PER_SQ_M = 0.000247105
-ALIASES = {"b02": "blue", "b2": "blue", "b03": "green", "b3": "green", "b04": "red", "b4": "red", "b05": "rededge1", "b5": "rededge1", "b08": "nir", "b8": "nir", "b11": "swir1", "b12": "swir2"}
-BANDS = ("blue", "green", "red", "rededge1", "nir", "swir1", "swir2", "scl")
+# Band: asset names of the two catalogs, further names; index: (high, low).
+SENTINEL2 = {
+    "coastal": ("B01", "coastal", ("b1", "aerosol")),
+    "blue": ("B02", "blue", ("b2",)),
+    "green": ("B03", "green", ("b3",)),
+    "red": ("B04", "red", ("b4",)),
+    "rededge1": ("B05", "rededge1", ("b5", "rededge")),
+    "rededge2": ("B06", "rededge2", ("b6",)),
+    "rededge3": ("B07", "rededge3", ("b7",)),
+    "nir": ("B08", "nir", ("b8",)),
+    "nir08": ("B8A", "nir08", ("narrownir",)),
+    "nir09": ("B09", "nir09", ("b9", "watervapour", "watervapor")),
+    "swir16": ("B11", "swir16", ("swir1",)),
+    "swir22": ("B12", "swir22", ("swir2",)),
+}
+INDICES = {"ndvi": ("nir", "red"), "gndvi": ("nir", "green"), "ndre": ("nir", "rededge1"), "ndwi": ("green", "nir"), "mndwi": ("green", "swir16"), "ndmi": ("nir", "swir16"), "nbr": ("nir", "swir22")}
+PROVIDERS = ("mpc", "earthsearch")
+SOURCES = ("B2", "B3", "B4", "B5", "B8", "NDVI", "B11", "B12")
 
 
 def safe_divide(n: Column, d: Column) -> Column:
@@ -101,13 +117,17 @@ def normalise_band(name: Column) -> Column:
     return F.regexp_replace(F.lower(F.trim(name)), "[-_ ]", "")
 
 
+def _key(name: str) -> str:
+    return name.strip().lower().translate(str.maketrans("", "", "-_ "))
+
+
 def resolve_bands(bands: list[str]) -> list[str]:
     """Canonical band names in order without repeats; unknown or no bands are an error."""
+    known = {k: n for n, (code, asset, more) in SENTINEL2.items() for k in (n, code.lower(), asset, *more)}
     out: list[str] = []
     for b in bands:
-        key = b.strip().lower().translate(str.maketrans("", "", "-_ "))
-        name = ALIASES.get(key, key)
-        if name not in BANDS:
+        name = known.get(_key(b))
+        if name is None:
             raise ValueError(f"unknown band {b!r}")
         if name not in out:
             out.append(name)
@@ -116,6 +136,36 @@ def resolve_bands(bands: list[str]) -> list[str]:
     return out
 
 
+def split_bands(bands: list[str]) -> tuple[list[str], list[str], list[str]]:
+    """(bands to read, indices to compute, all in the order asked for); an index brings its inputs along."""
+    order = list(dict.fromkeys(_key(b) if _key(b) in INDICES else resolve_bands([b])[0] for b in bands))
+    if not order:
+        raise ValueError("no bands")
+    indices = [b for b in order if b in INDICES]
+    inputs = [x for i in indices for x in INDICES[i]]
+    return list(dict.fromkeys([b for b in order if b not in INDICES] + inputs)), indices, order
+
+
+def provider_assets(provider: str, bands: list[str]) -> list[str]:
+    """A catalog's asset names of canonical bands, in order."""
+    return [SENTINEL2[b][PROVIDERS.index(provider)] for b in bands]
+
+
+def source_columns(columns: list[str], wanted: list[str] | None = None) -> list[str]:
+    """Bands to take from a table: those named, or every known one that it has; an error if any or all lack."""
+    found = [c for c in (SOURCES if wanted is None else wanted) if c in columns]
+    if not found or (wanted is not None and len(found) < len(wanted)):
+        raise ValueError(f"missing bands {sorted(set(wanted or SOURCES) - set(columns))}")
+    return found
+
+
+def feature_matrix(names: list[str], bands: list[str]) -> Column:
+    """Array of the named features in the caller's order."""
+    if not names:
+        raise ValueError("no features")
+    return F.array(*[feature(n, bands).cast("double") for n in names])
+
+
 def within_caps(bands: list[str], caps: dict[str, int] = CAPS) -> Column:
     """Row kept iff every band present is at most its cap."""
     return reduce(lambda a, b: a & b, [F.col(b) <= caps[b] for b in bands if b in caps], F.lit(True))

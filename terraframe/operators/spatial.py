@@ -231,13 +231,14 @@ def split_ring(ring: list[tuple[float, float]], theta: float, offset: float) ->
     return halves[0], halves[1]
 
 
-def best_cut(pixels: DataFrame, field: str, crop: str, x: str, y: str, angles: list[float], side: int = 10) -> DataFrame:
+def best_cut(pixels: DataFrame, field: str, crop: str, x: str, y: str, angles: list[float] | Column, side: int = 10) -> DataFrame:
     """Straight cut of each field with the purest sides: prefix sums of both classes along a direction.
 
     Purity is the sum over sides of n * max(share, 1 - share) / n; a side has at least ``side`` pixels.
-    Ties: the first angle, then the lower position.
+    ``angles`` is a list for all fields or an array column. Ties: the first angle, then the lower position.
     """
-    axes = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(a).alias("theta")) for i, a in enumerate(angles)]))
+    every = angles if isinstance(angles, Column) else F.array(*[F.lit(a) for a in angles])
+    axes = F.explode(F.transform(every, lambda a, i: F.struct(i.alias("i"), a.alias("theta"))))
     proj = pixels.withColumn("_a", axes).select(field, F.col("_a.i").alias("angle"), (F.col(x) * F.cos("_a.theta") + F.col(y) * F.sin("_a.theta")).alias("proj"), F.col(crop).cast("int").alias("crop"), F.col(x).alias("_x"), F.col(y).alias("_y"))
     order = Window.partitionBy(field, "angle").orderBy("proj", "_x", "_y")
     whole = Window.partitionBy(field, "angle")
@@ -248,20 +249,20 @@ def best_cut(pixels: DataFrame, field: str, crop: str, x: str, y: str, angles: l
     return ok.groupBy(field).agg(F.max_by(F.struct("angle", "n1", "purity"), F.struct("purity", -F.col("angle"), -F.col("n1"))).alias("b")).select(field, "b.angle", F.col("b.n1").alias("cut"), "b.purity")
 
 
-def best_chip(grid: DataFrame, classes: list[Column], cell: int, size: int) -> DataFrame:
-    """(top, lft, score): the square of ``size`` cells with the largest smallest class count; ties row-major.
+def best_chip(grid: DataFrame, classes: list[Column], cell: int, size: int, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(keys, top, lft, score): the square of ``size`` cells with the largest smallest class count; ties row-major.
 
     Window sums are separable: each cell is dealt to the ``size`` origins of its row, then each row
     sum to those of its column. Origins are 0 or more; a chip may overhang the far edges.
     """
     names = [f"n{i}" for i in range(len(classes))]
     at = lambda c: F.floor(F.col(c) / cell).cast("bigint")
-    sums = grid.groupBy(at("r").alias("top"), at("c").alias("lft")).agg(*[F.count_if(k).alias(n) for k, n in zip(classes, names)])
+    sums = grid.groupBy(*keys, at("r").alias("top"), at("c").alias("lft")).agg(*[F.count_if(k).alias(n) for k, n in zip(classes, names)])
     for axis, other in (("lft", "top"), ("top", "lft")):
         origin = F.explode(F.sequence(F.greatest(F.col(axis) - (size - 1), F.lit(0)), F.col(axis)))
-        sums = sums.select(other, *names, origin.alias(axis)).groupBy(other, axis).agg(*[F.sum(n).alias(n) for n in names])
-    best = sums.select("top", "lft", F.least(*names).alias("score"))
-    return best.agg(F.max_by(F.struct("top", "lft", "score"), F.struct("score", -F.col("top"), -F.col("lft"))).alias("b")).select("b.*")
+        sums = sums.select(*keys, other, *names, origin.alias(axis)).groupBy(*keys, other, axis).agg(*[F.sum(n).alias(n) for n in names])
+    best = sums.select(*keys, "top", "lft", F.least(*names).alias("score"))
+    return best.groupBy(*keys).agg(F.max_by(F.struct("top", "lft", "score"), F.struct("score", -F.col("top"), -F.col("lft"))).alias("b")).select(*keys, "b.*")
 
 
 def tile_apply(tiles: DataFrame, key: str, worker, schema: str) -> DataFrame:

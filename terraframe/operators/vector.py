@@ -179,6 +179,29 @@ def ring_measures(ring: str) -> tuple[Column, Column]:
     return F.abs(ring_area(xs, ys)), ring_length(xs, ys)
 
 
+def halves(ring: Column, theta: Column, offset: Column) -> Column:
+    """struct(above, below): both parts of a closed ring cut by x cos(theta) + y sin(theta) = offset; NULL for an empty part.
+
+    A part of a ring that is not convex may touch itself along the line.
+    """
+    n = F.size(ring) - 1
+    point = lambda x, y: F.array(F.struct(x.alias("x"), y.alias("y")))
+    none = F.array().cast("array<struct<x:double,y:double>>")
+
+    def part(sign: int) -> Column:
+        far = F.transform(ring, lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"), (sign * (p["x"] * F.cos(theta) + p["y"] * F.sin(theta) - offset)).alias("d")))
+
+        def side(a: Column, b: Column) -> Column:
+            t = a["d"] / (a["d"] - b["d"])
+            cross = point(a["x"] + t * (b["x"] - a["x"]), a["y"] + t * (b["y"] - a["y"]))
+            return F.concat(F.when(a["d"] >= 0, point(a["x"], a["y"])).otherwise(none), F.when(a["d"] * b["d"] < 0, cross).otherwise(none))
+
+        points = F.flatten(F.zip_with(F.slice(far, F.lit(1), n), F.slice(far, F.lit(2), n), side))
+        return F.when(F.size(points) >= 3, F.concat(points, F.slice(points, 1, 1)))
+
+    return F.when(F.size(ring) >= 4, F.struct(part(1).alias("above"), part(-1).alias("below")))
+
+
 def field_shaped(polygons: DataFrame, ring: str, least_area: float, width: float, rectangularity: float = 0.45, compact: float = 0.18) -> DataFrame:
     """Polygons that are large, wide, rectangular and compact enough.
 

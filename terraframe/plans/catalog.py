@@ -575,12 +575,6 @@ def _(long):
     return rounded(long.groupBy("pixel_id").agg(F.avg("v").alias("m")), "m")
 
 
-@query("ag18_temporal_stats", "SELECT pixel_id, round(10 * log10(quantile_cont(red, 0.5)), 5) AS vv_median, round(stddev_pop(10 * log10(CAST(red AS DOUBLE))), 5) AS vv_std FROM obs GROUP BY pixel_id", ("obs",))
-def _(obs):
-    out = obs.groupBy("pixel_id").agg(spectral.decibel(F.percentile("red", F.lit(0.5))).alias("vv_median"), F.stddev_pop(spectral.decibel(F.col("red").cast("double"))).alias("vv_std"))
-    return rounded(out, "vv_median", "vv_std", n=5)
-
-
 @query("ag19_crop_fraction", "SELECT CAST(floor(r / 10) AS BIGINT) AS fr, CAST(floor(c / 10) AS BIGINT) AS fc, count(*) AS pixels, round(avg(CASE WHEN cls = 1 THEN 1.0 ELSE 0.0 END), 6) AS crop_fraction, CASE WHEN count(*) < 10 THEN 'too small' WHEN avg(CASE WHEN cls = 1 THEN 1.0 ELSE 0.0 END) >= 0.85 THEN 'crop' WHEN avg(CASE WHEN cls = 1 THEN 1.0 ELSE 0.0 END) <= 0.15 THEN 'other' ELSE 'mixed' END AS band FROM grid WHERE cls <> 255 GROUP BY 1, 2", ("grid",))
 def _(grid):
     share = F.avg(F.when(F.col("cls") == 1, 1.0).otherwise(0.0))
@@ -881,4 +875,4 @@ def _(spark, sf_dir):
     return table(spark, sf_dir, "benchmark").select("item_id", F.size(names).alias("n"), names[0].alias("first"))
 
 
-from . import entries, layers, rasters  # noqa: E402, F401 - register further queries with the names above
+from . import entries, layers, passes, rasters  # noqa: E402, F401 - register further queries with the names above

@@ -29,6 +29,16 @@ GRID = """SELECT r, c, CASE WHEN (o_orderkey * 7919) % 97 = 0 THEN 255
     ELSE CASE WHEN o_custkey % 13 = 0 THEN 1 ELSE 4 END END AS cls, o_custkey AS v
 FROM (SELECT *, cast(floor(o_orderkey / 100) AS bigint) AS r, o_orderkey % 100 AS c FROM {orders}) s"""
 
+SCENE = """SELECT r, c, cls, v, 300 + (v * 37 + c * 11) % 900 AS B2, 400 + (v * 53 + r * 7) % 900 AS B3,
+  500 + (v * 29 + c * 17) % 900 - CASE WHEN cls = 1 THEN 200 ELSE 0 END AS B4, 700 + (v * 31 + r) % 1200 AS B5,
+  CASE WHEN v % 50 = 0 THEN 0 ELSE 1800 + (v * 13 + r * 19) % 1500 + CASE WHEN cls = 1 THEN 900 ELSE 0 END END AS B8 FROM (""" + GRID + """) g"""
+
+LAYERS = """SELECT r, c, d, CASE d WHEN 1 THEN DATE '2025-10-04' WHEN 2 THEN DATE '2025-10-09' ELSE DATE '2025-10-14' END AS day,
+  CASE WHEN d = 2 AND v % 97 = 0 THEN 9 ELSE 4 END AS scl,
+  cast(floor((400 + (v * 13 + r * 7 + c * 3) % 1500) * (11 - d) / 10) AS bigint) - 60 * d + (v * d) % 7 AS red,
+  cast(floor((2000 + (v * 19 + r * 5 + c) % 2500) * (13 - d) / 12) AS bigint) - 90 * d + (v * d) % 5 AS nir
+FROM (""" + GRID + """) g CROSS JOIN (VALUES (1), (2), (3)) t(d) WHERE (d = 1 AND c < 60) OR (d = 2 AND c >= 40) OR (d = 3 AND c >= 70)"""
+
 FIELDS = """SELECT c_custkey AS field_id, (c_custkey % 40) * 10 AS x0, cast(floor(c_custkey / 40) AS bigint) * 10 AS y0,
   (c_custkey % 40) * 10 + 8 + c_nationkey % 7 AS x1, cast(floor(c_custkey / 40) AS bigint) * 10 + 8 + c_nationkey % 5 AS y1 FROM {customer}"""
 
@@ -37,7 +47,7 @@ ITEMS = """SELECT event_id AS item_id, ts, (event_id * 7) % 100 AS cloud, 60 + u
 
 SCORES = "SELECT k, aoi, date, label, cast(5 * (B5 % 1000) + CASE WHEN label = 1 THEN 3000 ELSE 1000 END AS double) / 10000 AS prob FROM (" + PX + ") p"
 
-VIEWS = {"px": (PX, "lineitem"), "obs": (OBS, "events"), "grid": (GRID, "orders"), "fields": (FIELDS, "customer"), "items": (ITEMS, "events"), "scores": (SCORES, "lineitem")}
+VIEWS = {"px": (PX, "lineitem"), "obs": (OBS, "events"), "grid": (GRID, "orders"), "scene": (SCENE, "orders"), "layers": (LAYERS, "orders"), "fields": (FIELDS, "customer"), "items": (ITEMS, "events"), "scores": (SCORES, "lineitem")}
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +29,39 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def discover(spark: SparkSession, folder: str, patterns: dict[str, tuple[str, ...]], optional: tuple[str, ...] = ()) -> dict[str, str | None]:
+    """The first path by name of each artifact, by its patterns in turn; None for an optional one, else an error."""
+    jvm, out = spark.sparkContext._jvm, {}
+    base = jvm.org.apache.hadoop.fs.Path(folder)
+    files = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for name, globs in patterns.items():
+        hits = (sorted(str(s.getPath()) for s in files.globStatus(jvm.org.apache.hadoop.fs.Path(base, g)) or ()) for g in globs)
+        out[name] = next((h[0] for h in hits if h), None)
+        if out[name] is None and name not in optional:
+            raise FileNotFoundError(f"no {' or '.join(globs)} in {folder}")
+    return out
+
+
+class Stages:
+    """Outcome and seconds of named stages, appended to a table as each ends; an error is recorded and raised."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    @contextmanager
+    def stage(self, name: str):
+        began, status = time.monotonic(), "failed"
+        try:
+            yield
+            status = "done"
+        finally:
+            row = [(name, status, round(time.monotonic() - began, 1))]
+            self.spark.createDataFrame(row, "stage string, status string, seconds double").coalesce(1).write.mode("append").parquet(self.path)
+
+    def table(self) -> DataFrame:
+        return self.spark.read.parquet(self.path)
+
+
 def first_that_opens(spark: SparkSession, paths: list[str]) -> DataFrame:
     """The first of several tables that can be read; an error that names all of them if none can."""
     failed = []
