@@ -96,8 +96,8 @@ def stratified_cap(frame: DataFrame, strata: list[str], k: int, order: list[Colu
     return frame.withColumn("pos", F.row_number().over(w)).where(F.col("pos") <= k)
 
 
-def stratified_split(frame: DataFrame, stratum: str, key: str, share: float, digits: int = 3) -> DataFrame:
-    """Adds ``train``: the first ``share`` of each stratum in the order of the key's MD5.
+def hash_ranks(frame: DataFrame, stratum: str, key: str, digits: int = 3) -> DataFrame:
+    """Adds _pos (from 1) in the order of the key's MD5 within the stratum, and the stratum's size _n.
 
     Ranks are exact without one task per stratum: rows are ranked within (stratum, hash prefix), and
     the counts of the earlier prefixes are added.
@@ -107,7 +107,17 @@ def stratified_split(frame: DataFrame, stratum: str, key: str, share: float, dig
     whole = Window.partitionBy(stratum)
     counts = counts.select(stratum, "_b", F.coalesce(F.sum("_c").over(whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.sum("_c").over(whole).alias("_n"))
     pos = F.col("_before") + F.row_number().over(Window.partitionBy(stratum, "_b").orderBy("_h"))
-    return rows.join(counts, [stratum, "_b"]).withColumn("train", pos <= F.col("_n") * F.lit(share)).drop("_h", "_b", "_before", "_n")
+    return rows.join(counts, [stratum, "_b"]).withColumn("_pos", pos).drop("_h", "_b", "_before")
+
+
+def stratified_split(frame: DataFrame, stratum: str, key: str, share: float, digits: int = 3) -> DataFrame:
+    """Adds ``train``: the first ``share`` of each stratum in the order of the key's MD5."""
+    return hash_ranks(frame, stratum, key, digits).withColumn("train", F.col("_pos") <= F.col("_n") * F.lit(share)).drop("_pos", "_n")
+
+
+def stratified_folds(frame: DataFrame, stratum: str, key: str, folds: int, digits: int = 3) -> DataFrame:
+    """Adds ``fold`` from 0: each stratum is dealt over the folds in the order of the key's MD5."""
+    return hash_ranks(frame, stratum, key, digits).withColumn("fold", ((F.col("_pos") - 1) % folds).cast("int")).drop("_pos", "_n")
 
 
 def fold_sizes(frame: DataFrame, group: str, actual: Column, least: int = 1000) -> DataFrame:
@@ -169,6 +179,24 @@ def ablation(train: DataFrame, test: DataFrame, arms: dict[str, list[str]], labe
     return out
 
 
+def tuned_boosted(frame: DataFrame, features: list[str], label: Column, depths: tuple[int, ...] = (3, 5), rates: tuple[float, ...] = (0.1, 0.3), rounds: int = 20, folds: int = 3):
+    """(table of depth, rate, auc and best; model, assembler): boosted trees by cross-validated area, refitted on all rows."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip")
+    rows = assembler.transform(frame.withColumn("_y", label.cast("double")).dropna(subset=features)).select("features", "_y")
+    trees = GBTClassifier(featuresCol="features", labelCol="_y", maxIter=rounds, seed=7)
+    grid = ParamGridBuilder().addGrid(trees.maxDepth, list(depths)).addGrid(trees.stepSize, list(rates)).build()
+    judge = BinaryClassificationEvaluator(labelCol="_y", metricName="areaUnderROC")
+    found = CrossValidator(estimator=trees, estimatorParamMaps=grid, evaluator=judge, numFolds=folds, seed=7, parallelism=2).fit(rows)
+    top = max(found.avgMetrics)
+    table = [(p[trees.maxDepth], p[trees.stepSize], float(m), bool(m == top)) for p, m in zip(grid, found.avgMetrics)]
+    return frame.sparkSession.createDataFrame(table, "depth int, rate double, auc double, best boolean"), found.bestModel, assembler
+
+
 def tuned_forest(frame: DataFrame, features: list[str], label: Column, depths: tuple[int, ...] = (5, 8, 12), trees: tuple[int, ...] = (50, 100), folds: int = 3) -> DataFrame:
     """(depth, trees, accuracy, best) of every setting of a random forest by cross-validation."""
     from pyspark.ml.classification import RandomForestClassifier

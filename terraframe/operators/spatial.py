@@ -232,21 +232,30 @@ def split_ring(ring: list[tuple[float, float]], theta: float, offset: float) ->
 
 
 def best_cut(pixels: DataFrame, field: str, crop: str, x: str, y: str, angles: list[float] | Column, side: int = 10) -> DataFrame:
-    """Straight cut of each field with the purest sides: prefix sums of both classes along a direction.
+    """(field, angle, theta, cut, offset, purity): the straight cut with the purest sides, by prefix sums of both classes along a direction.
 
-    Purity is the sum over sides of n * max(share, 1 - share) / n; a side has at least ``side`` pixels.
-    ``angles`` is a list for all fields or an array column. Ties: the first angle, then the lower position.
+    Purity is the sum over sides of n * max(share, 1 - share) / n. The lower side has more than ``side``
+    pixels, the other at least ``side``; the cut lies half way between two pixels. Positions are
+    told apart to nine decimals. ``angles`` is a list for all fields or an array column. Ties: the
+    first angle, then the lower position.
     """
     every = angles if isinstance(angles, Column) else F.array(*[F.lit(a) for a in angles])
     axes = F.explode(F.transform(every, lambda a, i: F.struct(i.alias("i"), a.alias("theta"))))
-    proj = pixels.withColumn("_a", axes).select(field, F.col("_a.i").alias("angle"), (F.col(x) * F.cos("_a.theta") + F.col(y) * F.sin("_a.theta")).alias("proj"), F.col(crop).cast("int").alias("crop"), F.col(x).alias("_x"), F.col(y).alias("_y"))
+    proj = pixels.withColumn("_a", axes).select(field, F.col("_a.i").alias("angle"), F.col("_a.theta").alias("theta"), along(F.col(x), F.col(y), F.col("_a.theta")).alias("proj"), F.col(crop).cast("int").alias("crop"), F.col(x).alias("_x"), F.col(y).alias("_y"))
     order = Window.partitionBy(field, "angle").orderBy("proj", "_x", "_y")
     whole = Window.partitionBy(field, "angle")
-    run = proj.select("*", F.row_number().over(order).alias("n1"), F.sum("crop").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("k1"), F.count(F.lit(1)).over(whole).alias("n"), F.sum("crop").over(whole).alias("k"))
+    offset = (F.col("proj") + F.coalesce(F.lead("proj").over(order), "proj")) / 2
+    run = proj.select("*", F.row_number().over(order).alias("n1"), offset.alias("offset"), F.sum("crop").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("k1"), F.count(F.lit(1)).over(whole).alias("n"), F.sum("crop").over(whole).alias("k"))
     n2, k2 = F.col("n") - F.col("n1"), F.col("k") - F.col("k1")
     purity = (F.greatest(F.col("k1"), F.col("n1") - F.col("k1")) + F.greatest(k2, n2 - k2)) / F.col("n")
-    ok = run.where((F.col("n1") >= side) & (n2 >= side)).withColumn("purity", purity)
-    return ok.groupBy(field).agg(F.max_by(F.struct("angle", "n1", "purity"), F.struct("purity", -F.col("angle"), -F.col("n1"))).alias("b")).select(field, "b.angle", F.col("b.n1").alias("cut"), "b.purity")
+    ok = run.where((F.col("n1") > side) & (n2 >= side)).withColumn("purity", purity)
+    best = F.max_by(F.struct("angle", "theta", F.col("n1").alias("cut"), "offset", "purity"), F.struct("purity", -F.col("angle"), -F.col("n1")))
+    return ok.groupBy(field).agg(best.alias("b")).select(field, "b.*")
+
+
+def along(x: Column, y: Column, theta: Column) -> Column:
+    """Position of a point along a direction, to nine decimals."""
+    return F.round(x * F.cos(theta) + y * F.sin(theta), 9)
 
 
 def best_chip(grid: DataFrame, classes: list[Column], cell: int, size: int, keys: tuple[str, ...] = ()) -> DataFrame:

@@ -216,6 +216,33 @@ def field_shaped(polygons: DataFrame, ring: str, least_area: float, width: float
     return left.where(field_like(ring, width)).drop("_box")
 
 
+def crosses_itself(ring) -> bool:
+    """Whether two sides of a closed ring that are not neighbours meet."""
+    a, b = _segments(ring)
+    n, edge = len(a), b - a
+    turn = lambda p, q, r: (q[..., 0] - p[..., 0]) * (r[..., 1] - p[..., 1]) - (q[..., 1] - p[..., 1]) * (r[..., 0] - p[..., 0])
+    for i in range(n - 2):
+        j = np.arange(i + 2, n - 1 if i == 0 else n)
+        one, two = turn(a[i], b[i], a[j]), turn(a[i], b[i], b[j])
+        three, four = turn(a[j], b[j], a[i]), turn(a[j], b[j], b[i])
+        apart = (np.maximum(a[i], b[i]) < np.minimum(a[j], b[j])).any(-1) | (np.maximum(a[j], b[j]) < np.minimum(a[i], b[i])).any(-1)
+        if ((one * two <= 0) & (three * four <= 0) & ~apart).any():
+            return True
+    return bool(((edge == 0).all(1)).any())
+
+
+def ring_problem(rings: str) -> Column:
+    """What is wrong with a ring: empty, open, no area, crossing; NULL for a sound one."""
+
+    @F.pandas_udf("boolean")
+    def crossing(column: pd.Series) -> pd.Series:
+        return column.map(lambda ring: ring is not None and len(ring) >= 4 and crosses_itself(ring)).astype(bool)
+
+    ring = F.col(rings)
+    area = ring_measures(rings)[0]
+    return F.when(F.coalesce(F.size(ring), F.lit(0)) < 1, "empty").when((F.size(ring) < 4) | (F.element_at(ring, 1) != F.element_at(ring, -1)), "open").when(area == 0, "no area").when(crossing(ring), "crossing")
+
+
 def single_parts(polygons: DataFrame, parts: str) -> DataFrame:
     """One row a part of a multipart column, ``part`` its position; null, open and too short rings go."""
     rows = polygons.select(*[c for c in polygons.columns if c != parts], F.posexplode(parts).alias("part", "ring"))

@@ -836,14 +836,14 @@ def _(fields):
 _CUT = """, p AS (SELECT CAST(floor(r / 10) * 100 + floor(c / 10) AS BIGINT) AS field, CASE WHEN cls = 1 THEN 1 ELSE 0 END AS crop, r, c FROM grid WHERE cls <> 255),
 a AS (SELECT field, 0 AS angle, row_number() OVER (PARTITION BY field ORDER BY c, r) AS n1, sum(crop) OVER (PARTITION BY field ORDER BY c, r ROWS UNBOUNDED PRECEDING) AS k1, count(*) OVER (PARTITION BY field) AS n, sum(crop) OVER (PARTITION BY field) AS k FROM p
   UNION ALL SELECT field, 1, row_number() OVER (PARTITION BY field ORDER BY r, c), sum(crop) OVER (PARTITION BY field ORDER BY r, c ROWS UNBOUNDED PRECEDING), count(*) OVER (PARTITION BY field), sum(crop) OVER (PARTITION BY field) FROM p),
-b AS (SELECT field, angle, n1, CAST(greatest(k1, n1 - k1) + greatest(k - k1, n - n1 - (k - k1)) AS DOUBLE) / n AS purity FROM a WHERE n1 >= 10 AND n - n1 >= 10)
+b AS (SELECT field, angle, n1, CAST(greatest(k1, n1 - k1) + greatest(k - k1, n - n1 - (k - k1)) AS DOUBLE) / n AS purity FROM a WHERE n1 > 10 AND n - n1 >= 10)
 SELECT field, arg_max(angle, (purity, -angle, -n1)) AS angle, CAST(arg_max(n1, (purity, -angle, -n1)) AS INTEGER) AS cut, round(max(purity), 6) AS purity FROM b GROUP BY field"""
 
 
 @query("wi3_best_cut", _CUT, ("grid",))
 def _(grid):
     px = grid.where("cls <> 255").select((F.floor(F.col("r") / 10) * 100 + F.floor(F.col("c") / 10)).cast("bigint").alias("field"), (F.col("cls") == 1).alias("crop"), "r", "c")
-    return rounded(spatial.best_cut(px, "field", "crop", "c", "r", [0.0, 1.5707963267948966]), "purity")
+    return rounded(spatial.best_cut(px, "field", "crop", "c", "r", [0.0, 1.5707963267948966]).select("field", "angle", "cut", "purity"), "purity")
 
 
 @query("se1_union_all", "SELECT k, 'a' AS src FROM px WHERE label = 1 UNION ALL SELECT k, 'b' FROM px WHERE label = 4", ("px",))
@@ -875,4 +875,4 @@ def _(spark, sf_dir):
     return table(spark, sf_dir, "benchmark").select("item_id", F.size(names).alias("n"), names[0].alias("first"))
 
 
-from . import entries, layers, passes, rasters  # noqa: E402, F401 - register further queries with the names above
+from . import entries, layers, passes, pipelines, rasters  # noqa: E402, F401 - register further queries with the names above

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import time
 import uuid
@@ -10,6 +11,7 @@ from contextlib import contextmanager
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -73,6 +75,14 @@ def first_that_opens(spark: SparkSession, paths: list[str]) -> DataFrame:
     raise FileNotFoundError("; ".join(failed))
 
 
+def cached(spark: SparkSession, folder: str, key: tuple, make) -> DataFrame:
+    """The table of ``make()``, written once below ``folder`` for a key (source, time, bounds, version) and read from then on."""
+    path = f"{folder}/{hashlib.sha1(repr(key).encode()).hexdigest()}"
+    if not exists(spark, f"{path}/_SUCCESS"):
+        make().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def write_partitioned(df: DataFrame, path: str, keys: list[str], mode: str = "errorifexists") -> DataFrame:
     """Write one folder a key and read the table back; rows are not gathered by key first."""
     df.write.mode(mode).option("compression", "snappy").partitionBy(*keys).parquet(path)
@@ -99,5 +109,5 @@ def write_missing(df: DataFrame, path: str, key: str) -> DataFrame:
     done = spark.read.schema(df.schema).parquet(f"{path}/rows/run={run}").groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     done.withColumn("run", F.lit(run)).write.mode("append").parquet(manifest)
     kept = spark.read.parquet(manifest).select(key, "run")
-    rows = spark.read.option("basePath", f"{path}/rows").schema(df.schema.add("run", "string")).parquet(f"{path}/rows")
+    rows = spark.read.option("basePath", f"{path}/rows").schema(StructType([*df.schema, StructField("run", StringType())])).parquet(f"{path}/rows")
     return rows.join(kept, [key, "run"], "left_semi").select(*df.columns)

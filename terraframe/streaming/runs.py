@@ -60,6 +60,14 @@ def batch_writer(path: str):
     return write
 
 
+def process_new(spark: SparkSession, folder: str, schema, out: str, work) -> None:
+    """Run ``work(batch)`` over the files of ``folder`` that no earlier call has seen, and add the result below ``out``."""
+    write = batch_writer(f"{out}/rows")
+    rows = spark.readStream.schema(schema).parquet(folder)
+    sink = rows.writeStream.option("checkpointLocation", f"{out}/progress").trigger(availableNow=True)
+    sink.foreachBatch(lambda batch, number: write(work(batch), number)).start().awaitTermination()
+
+
 def run_available(stream: DataFrame, mode: str, name: str) -> DataFrame:
     """Run a stream over the files present and read the result: all batches, or the last of a complete stream."""
     spark = stream.sparkSession

@@ -125,3 +125,58 @@ def test_bands():
     for columns, wanted in ((["k"], None), (["B2"], ["B2", "B3"])):
         with pytest.raises(ValueError):
             spectral.source_columns(columns, wanted)
+
+
+def test_series_inference_against_numpy(spark):
+    import numpy as np
+
+    from terraframe.operators import smooth
+    from terraframe.plans import catalog, passes
+    from terraframe.sources import fixtures
+
+    sf = "/root/testdata/sf0.001"
+    rows = fixtures.load(spark, sf, "series").select("pixel_id", "s").collect()
+    got = catalog.QUERIES["ep5_series_inference"](spark, sf)
+    assert got.columns == ["pixel_id", "tile", "cls"]
+    got = {r["pixel_id"]: r["cls"] for r in got.collect()}
+    assert len(got) == len(rows)
+    for pixel, s in rows:
+        y = np.array([np.nan if v is None else v for v in s])
+        z = np.clip(np.linalg.solve(np.diag(np.isfinite(y).astype(float)) + smooth.penalty(len(y), 0.5), np.nan_to_num(y)), 0, 1)
+        score = sum(reach(t, [z[21], z[24], z[30]]) for t in passes.FOREST) / 2
+        assert got[pixel] == (1 if score >= 0.5 else 4)
+
+
+def test_rings_that_cross_themselves(spark):
+    rng = random.Random(2)
+
+    def crossing(ring):
+        def turn(p, q, r):
+            return (q[0] - p[0]) * (r[1] - p[1]) - (q[1] - p[1]) * (r[0] - p[0])
+
+        n = len(ring)
+        sides = [(ring[i], ring[(i + 1) % n]) for i in range(n)]
+        return any(turn(*sides[i], sides[j][0]) * turn(*sides[i], sides[j][1]) < 0 and turn(*sides[j], sides[i][0]) * turn(*sides[j], sides[i][1]) < 0 for i in range(n) for j in range(i + 1, n) if (j - i) % n not in (1, n - 1))
+
+    rows = [(i, [(rng.uniform(0, 9), rng.uniform(0, 9)) for _ in range(rng.randrange(3, 7))]) for i in range(200)]
+    frame = spark.createDataFrame([(i, [*ring, ring[0]]) for i, ring in rows] + [(900, None), (901, []), (902, [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0)])], "i int, ring array<struct<x:double,y:double>>")
+    got = {r["i"]: r["p"] for r in frame.select("i", vector.ring_problem("ring").alias("p")).collect()}
+    assert got[900] == got[901] == "empty" and got[902] == "open"
+    assert {got[i] for i, _ in rows} == {None, "crossing"} and all((got[i] == "crossing") == crossing(ring) for i, ring in rows)
+
+
+def test_labels_of_small_and_empty_fields(spark):
+    from terraframe.operators import labelling
+
+    ring = lambda x, w: [(x, 0.0), (x + w, 0.0), (x + w, 10.0), (x, 10.0), (x, 0.0)]
+    fields = spark.createDataFrame([(1, ring(0.0, 10.0)), (2, ring(20.0, 10.0)), (3, ring(40.0, 20.0))], "field_id int, ring array<struct<x:double,y:double>>")
+    cells = [(2, 20.5 + i, 0.5, True) for i in range(9)] + [(3, 40.5 + i, 0.5 + j, i < 7) for i in range(20) for j in range(10)]
+    pixels = spark.createDataFrame(cells, "field_id int, x double, y double, crop boolean")
+    got = {(r["field_id"], r["part"]): r for r in labelling.label_fields(pixels, fields, 5.0, 10.0).collect()}
+    assert got.keys() == {(1, 0), (2, 0), (3, 1), (3, 2)}
+    assert got[1, 0]["decision"] == got[2, 0]["decision"] == "too small to judge" and got[2, 0]["crop_fraction"] is None
+    assert got[3, 2]["crop_fraction"] == 1.0 and got[3, 1]["crop_fraction"] == 0.0 and got[3, 1]["pixels"] == 130
+    assert got[3, 1]["decision"] == "cut, purity 0.9+" and max(x for x, _ in got[3, 2]["ring"]) == 47.0
+    narrow = {r["part"]: r["decision"] for r in labelling.label_fields(pixels, fields, 8.0, 10.0).where("field_id = 3").collect()}
+    assert narrow == {0: "mixed, cut would leave a sliver"}
+    assert labelling.label_fields(pixels.limit(0), fields, 5.0, 10.0).count() == 3
