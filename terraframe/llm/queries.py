@@ -11,7 +11,7 @@ from .piece_scan import op4_piece_scan
 from .ppm import op10_language_id
 from .simhash import op5_simhash
 from .token_counts import op7_token_counts
-from .warc import op6_warc
+from .warc import OP6_SQL, op6_warc
 
 QUERIES = {
     "op1_ball_tree": op1_ball_tree,
@@ -26,4 +26,4 @@ QUERIES = {
     "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL = {"op1_ball_tree": OP1_SQL, "op9_hnsw": OP9_SQL}
+ORACLE_SQL = {"op1_ball_tree": OP1_SQL, "op6_warc": OP6_SQL, "op9_hnsw": OP9_SQL}

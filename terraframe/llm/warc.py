@@ -123,7 +123,11 @@ def seek_table(file, size: int) -> list[tuple[int, int]]:
 
 
 def with_revisits(pages: DataFrame, min_revisit: int = 0) -> DataFrame:
-    """(page_id, url, payload BINARY, refers_to): null html is an empty payload."""
+    """(page_id, url, payload BINARY, refers_to): null html is an empty payload.
+
+    Every row has a record, rows that repeat an id as well: where the largest id of a payload
+    occurs more than once, all its rows are responses. Rows without an id have none.
+    """
     rows = pages.where("page_id is not null").select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload"))
     keyed = rows.withColumn("_k", F.sha2("payload", 256))
     again = keyed.where(F.octet_length("payload") >= min_revisit).groupBy("_k").agg(F.max("page_id").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
@@ -217,8 +221,16 @@ def lookup(index: DataFrame, record_id: str) -> tuple[dict[str, str], bytes]:
     return parse(data, row["offset"])[:2]
 
 
+#: Base32 takes five bits at a time: two hex digits hold those of each place.
+OP6_SQL = """WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages WHERE page_id IS NOT NULL),
+d AS (SELECT page_id, payload, sha1(payload) || '0' AS h, max(page_id) OVER (PARTITION BY payload) AS newest FROM p)
+SELECT page_id, octet_length(payload) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((CAST('0x' || substr(h, CAST(5 * i // 4 + 1 AS INTEGER), 2) AS INTEGER) >> CAST(3 - 5 * i % 4 AS INTEGER)) & 31) + 1, 1)), '') AS payload_digest,
+  CASE WHEN newest = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN newest <> page_id THEN newest END AS refers_to FROM d"""
+
+
 def op6_warc(spark, sf_dir: str) -> DataFrame:
-    """Page ids are unique; rows without one have no record."""
+    """A row a page that has an id, from the archives as they were written."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     index = write_bundles(with_revisits(pages), scratch(spark, "warc"))
     return read_frames(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -390,6 +390,9 @@ def test_warc(spark):
     assert {r["record_type"] for i, r in got.items() if i in (1, 2, 3)} == {"revisit"}
     assert warc.lookup(index, "urn:page:5")[1].decode() == "é" * 50000
     assert warc.read_frames(warc.write_bundles(warc.with_revisits(pages.limit(0)), scratch(spark, "t"))).count() == 0
+    again = pages.unionByName(pages.where("page_id = 9")).unionByName(pages.limit(1).withColumn("page_id", F.lit(None).cast("long")))
+    kinds = warc.read_frames(warc.write_bundles(warc.with_revisits(again), scratch(spark, "t"))).where("payload_bytes = 11").collect()
+    assert sorted((r["page_id"], r["record_type"], r["refers_to"]) for r in kinds) == [(1, "revisit", 9), (2, "revisit", 9), (9, "response", None), (9, "response", None)]
     assert {r["refers_to"] for r in warc.with_revisits(pages, 5).where("page_id in (3, 4)").collect()} == {None}
 
 
@@ -607,3 +610,30 @@ def test_pipeline_against_its_steps(spark):
         assert np.frombuffer(r["ids"], "<u4").tolist() == pieces.sp.encode(source[i])
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs(spark), SF).columns == docs(spark).columns
+
+
+def test_pipeline_of_odd_rows(spark):
+    """Null ids and texts, repeats and clashing names pass through; an empty table gives an empty result."""
+    import corpus_pipeline
+
+    source = docs(spark)
+    clash = {n: F.lit(7) for n in ("_t", "_id", "n", "ids", "p", "rate", "kept", "n_tokens", "component", "fp", "score", "lang_pred", "n_pieces")}
+    more = [(i, t) for i, t in ODD if i is not None] + [(None, "no id, but a text of several english words"), (None, None)]
+    odd_rows = spark.createDataFrame([(None if i is None else i + 10**6, t) for i, t in more], "doc_id long, text string")
+    rows = source.unionByName(odd_rows, allowMissingColumns=True).withColumns(clash)
+    folder = scratch(spark, "odd")
+    rows.write.parquet(f"{folder}/documents.parquet")
+    spark.read.parquet(f"{SF}/labels.parquet").write.parquet(f"{folder}/labels.parquet")
+    stage_rows = spark.read.parquet(f"{folder}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, stage_rows, folder).columns == rows.columns
+    out = corpus_pipeline.run(spark, folder)
+    assert out.columns == ["doc_id", "n_pieces", "ids"]
+    got = [r["doc_id"] for r in out.collect()]
+    dropped = {10**6 + i for i in (1, 2, 3)}  # no letters
+    assert not dropped & set(got) and len({10**6 + 6, 10**6 + 7} & set(got)) <= 1
+    assert len(got) > 0.5 * source.count()
+    empty = scratch(spark, "empty")
+    source.limit(0).write.parquet(f"{empty}/documents.parquet")
+    spark.read.parquet(f"{SF}/labels.parquet").limit(0).write.parquet(f"{empty}/labels.parquet")
+    assert corpus_pipeline.run(spark, empty).count() == 0
