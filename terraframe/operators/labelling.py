@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.sinks import materialized
 from . import spatial, vector
 
 # Clean shares, least pixels, least gain of a cut.
@@ -31,11 +32,11 @@ def label_fields(pixels: DataFrame, fields: DataFrame, width: float, least_area:
     gain = F.coalesce(F.col("purity"), F.lit(0.0)) - F.greatest(F.col("f"), 1 - F.col("f"))
     tried = mixed.join(cuts, "field_id", "left").withColumn("earns", gain >= LEAST_GAIN).withColumn("h", F.when(F.col("earns"), vector.halves(F.col("ring"), F.col("theta"), F.col("offset"))))
     tried = tried.select("*", F.col("h.above").alias("above"), F.col("h.below").alias("below"))
-    tried = tried.withColumn("wide", vector.field_like("above", width) & vector.field_like("below", width))
+    tried = materialized(tried.withColumn("wide", vector.field_like("above", width) & vector.field_like("below", width)).drop("h"), "cuts")
     above = spatial.along(F.col("x"), F.col("y"), F.col("theta")) > F.col("offset")
     sides = pixels.join(tried.where("wide").select("field_id", "theta", "offset"), "field_id").groupBy("field_id", above.alias("_up")).agg(F.count(F.lit(1)).alias("pixels"), F.avg(F.col("crop").cast("double")).alias("crop_fraction"))
     parts = tried.where("wide").select("field_id", "purity", F.explode(F.array(F.struct(F.lit(True).alias("_up"), F.col("above").alias("ring")), F.struct(F.lit(False).alias("_up"), F.col("below").alias("ring")))).alias("p")).select("field_id", "purity", "p.*")
-    kept = parts.join(sides, ["field_id", "_up"]).where((F.col("pixels") >= LEAST_PIXELS) & (vector.ring_measures("ring")[0] >= least_area))
+    kept = materialized(parts.join(sides, ["field_id", "_up"]).where((F.col("pixels") >= LEAST_PIXELS) & (vector.ring_measures("ring")[0] >= least_area)), "parts")
     bar = F.format_number(F.least(F.floor(F.col("purity") * 10) / 10, F.lit(0.9)), 1)
     cut = kept.select("field_id", F.when(F.col("_up"), 1).otherwise(2).alias("part"), "ring", "pixels", "crop_fraction", F.lit("split").alias("origin"), F.concat(F.lit("cut, purity "), bar, F.lit("+")).alias("decision"))
     whole = lambda rows, decision: rows.select("field_id", F.lit(0).alias("part"), "ring", F.col("n").alias("pixels"), F.when(~few, F.col("f")).alias("crop_fraction"), F.lit("delineation").alias("origin"), decision.alias("decision"))

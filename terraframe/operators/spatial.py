@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.sinks import shared_folder
+from ..sources.sinks import materialized
 
 
 def with_cells(boxes: DataFrame, size: float, x0: str = "x0", y0: str = "y0", x1: str = "x1", y1: str = "y1") -> DataFrame:
@@ -63,13 +63,6 @@ def dilate(cells: DataFrame, within: DataFrame, eight: bool) -> DataFrame:
 TILE = 256
 
 
-def _checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage through a table in the shared folder."""
-    path, schema = shared_folder(df.sparkSession, "cells"), df.schema
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(schema).parquet(path)
-
-
 def _steps(eight: bool) -> list[tuple[int, int]]:
     """Moves to the neighbours of a cell that come after it in row order."""
     return [(0, 1), (1, 0), *([(1, -1), (1, 1)] if eight else [])]
@@ -96,13 +89,13 @@ def contract(links: DataFrame) -> DataFrame:
     are rewritten to roots, until none is left: a few rounds, each of aggregations that combine
     before the shuffle.
     """
-    links, labels = _checkpoint(links), None
+    links, labels = materialized(links), None
     while not links.isEmpty():
         both = links.union(links.select("other", "id"))
-        parent = _checkpoint(both.groupBy("id").agg(F.min("other").alias("low")).select("id", F.least("id", "low").alias("root")))
+        parent = materialized(both.groupBy("id").agg(F.min("other").alias("low")).select("id", F.least("id", "low").alias("root")))
         while True:
             far = parent.select(F.col("id").alias("root"), F.col("root").alias("far"))
-            jumped = _checkpoint(parent.join(far, "root", "left").select("id", F.coalesce("far", "root").alias("root"), (F.col("far") < F.col("root")).alias("moved")))
+            jumped = materialized(parent.join(far, "root", "left").select("id", F.coalesce("far", "root").alias("root"), (F.col("far") < F.col("root")).alias("moved")))
             moved = not jumped.where("moved").isEmpty()
             parent = jumped.select("id", "root")
             if not moved:
@@ -111,7 +104,7 @@ def contract(links: DataFrame) -> DataFrame:
         labels = parent if labels is None else labels.join(step, "root", "left").select("id", F.coalesce("far", "root").alias("root"))
         ends = [parent.select(F.col("id").alias(c), F.col("root").alias(f"_{c}")) for c in ("id", "other")]
         links = links.join(ends[0], "id").join(ends[1], "other").select(F.least("_id", "_other").alias("id"), F.greatest("_id", "_other").alias("other"))
-        links = _checkpoint(links.where("id <> other").distinct())
+        links = materialized(links.where("id <> other").distinct())
     return links.select("id", F.col("other").alias("root")) if labels is None else labels
 
 
@@ -144,7 +137,7 @@ def components(cells: DataFrame, eight: bool = False, row: str = "r", col: str =
         return pd.DataFrame(out | ({"v": v} if value else {}))
 
     schema = "r bigint, c bigint, label bigint" + (", v bigint" if value else "")
-    tiled = _checkpoint(base.distinct().withColumns({"tr": at[0], "tc": at[1]}).groupBy("tr", "tc").applyInPandas(label, schema))
+    tiled = materialized(base.distinct().withColumns({"tr": at[0], "tc": at[1]}).groupBy("tr", "tc").applyInPandas(label, schema))
     edge = tiled.where(f"r % {tile} in (0, {tile - 1}) or c % {tile} in (0, {tile - 1})")
     moves = F.explode(F.array(*[F.struct((F.col("r") + i).alias("r"), (F.col("c") + j).alias("c")) for i, j in _steps(eight)]))
     ahead = edge.select(F.col("label").alias("a"), *([F.col("v")] if value else []), moves.alias("x")).select("a", *names[2:], "x.r", "x.c")
@@ -166,7 +159,7 @@ def sieve(grid: DataFrame, least: int, nodata: int = 255, eight: bool = False, v
     Components are per class. A neighbour must be valid; ties go to the smaller component id.
     """
     known = grid.where(F.col(value) != nodata)
-    parts = _checkpoint(components(known, eight, value=value).withColumnRenamed("v", "cls"))
+    parts = materialized(components(known, eight, value=value).withColumnRenamed("v", "cls"))
     sizes = parts.groupBy("component", "cls").agg(F.count(F.lit(1)).alias("n"))
     steps = [(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1) if (i or j) and (eight or i == 0 or j == 0)]
     near = parts.select(F.col("component").alias("mine"), F.explode(F.array(*[F.struct((F.col("r") + i).alias("r"), (F.col("c") + j).alias("c")) for i, j in steps])).alias("x")).select("mine", "x.r", "x.c")

@@ -6,6 +6,7 @@ A ring is a closed list of corners; a polygon is its exterior ring and then its
 from __future__ import annotations
 
 import struct
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -72,16 +73,38 @@ def polygonise(labelled: DataFrame, eight: bool = False) -> DataFrame:
     """
     kind = labelled.schema["component"].dataType.simpleString()
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
+    def trace(name, frame: pd.DataFrame) -> pd.DataFrame:
         out = []
         for xs, ys in stitch(frame["x"].to_numpy(), frame["y"].to_numpy(), frame["d"].to_numpy(), eight):
             u, v = np.array(xs), np.array(ys)
             out.append((float((u[:-1] * v[1:] - u[1:] * v[:-1]).sum() / 2), xs, ys))
         out.sort(key=lambda ring: -ring[0])
         areas, xs, ys = zip(*out)
-        return pd.DataFrame({"component": frame["component"].iloc[0], "ring": range(len(out)), "area": areas, "xs": xs, "ys": ys})
-
-    return boundary_edges(labelled).groupBy("component").applyInPandas(run, f"component {kind}, ring int, area double, xs array<double>, ys array<double>")
+        return pd.DataFrame({"component": name, "ring": range(len(out)), "area": areas, "xs": xs, "ys": ys})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # Sides come sorted by component; the last one of a batch may go on in the next.
+        held: list[pd.DataFrame] = []
+        for batch in batches:
+            if batch.empty:
+                continue
+            names = batch["component"].to_numpy()
+            begins = np.concatenate([[0], np.flatnonzero(names[1:] != names[:-1]) + 1])
+            done = []
+            for low, high in zip(begins, [*begins[1:], len(names)]):
+                part = batch.iloc[low:high]
+                if held and held[0]["component"].iloc[0] != names[low]:
+                    done.append(pd.concat(held))
+                    held = []
+                held.append(part)
+            if done:
+                yield pd.concat([trace(d["component"].iloc[0], d) for d in done])
+        if held:
+            last = pd.concat(held)
+            yield trace(last["component"].iloc[0], last)
+
+    edges = boundary_edges(labelled).repartition("component").sortWithinPartitions("component")
+    return edges.mapInPandas(run, f"component {kind}, ring int, area double, xs array<double>, ys array<double>")
 
 
 def _segments(ring) -> tuple[np.ndarray, np.ndarray]:
@@ -102,6 +125,8 @@ def wider_than(ring, width: float, tolerance: float = 1e-3) -> bool:
     long = np.maximum((edge * edge).sum(1), 1e-300)
     low, high = a.min(0), a.max(0)
     half = float((high - low).max()) / 2
+    if float((high - low).min()) / 2 <= need * (1 + tolerance):
+        return False
     todo = ((low + high) / 2)[None]
     while len(todo) and half > 0:
         keep = []

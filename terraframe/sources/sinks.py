@@ -24,6 +24,13 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialized(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` written to a fresh folder and read back, for results that several branches need."""
+    path, schema = shared_folder(df.sparkSession, name), df.schema
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether Spark's file system has ``path``."""
     jvm = spark.sparkContext._jvm

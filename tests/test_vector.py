@@ -37,6 +37,19 @@ def test_rings_enclose_exactly_their_cells(spark, eight):
         assert got == members[k]
 
 
+def test_outlines_over_many_batches(spark):
+    rng = random.Random(4)
+    cells = spark.createDataFrame([(r, c) for r in range(25) for c in range(25) if rng.random() < 0.55], "r long, c long")
+    labelled = spatial.components(cells)
+    whole = sorted(map(str, vector.polygonise(labelled).collect()))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert sorted(map(str, vector.polygonise(labelled).collect())) == whole
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(whole) > 20
+
+
 def test_polygonise_nothing(spark):
     assert vector.polygonise(spark.createDataFrame([], "r bigint, c bigint, component string")).count() == 0
 
