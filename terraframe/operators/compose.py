@@ -10,6 +10,14 @@ from pyspark.sql import functions as F
 from ..functions import dates, spectral
 
 
+def search_items(items: DataFrame, collection: str, box: tuple[float, float, float, float], begin: str, end: str, cloud_below: float, ts: str = "ts") -> DataFrame:
+    """Items of a collection in [begin, end) whose footprint (x0, y0, x1, y1) meets the box and whose cloud is below a limit; plain filters, which reach the scan."""
+    x0, y0, x1, y1 = box
+    meets = (F.col("x0") <= x1) & (F.col("x1") >= x0) & (F.col("y0") <= y1) & (F.col("y1") >= y0)
+    within = (F.col(ts) >= F.lit(begin).cast("timestamp")) & (F.col(ts) < F.lit(end).cast("timestamp"))
+    return items.where((F.col("collection") == collection) & meets & within & (F.col("cloud") < cloud_below))
+
+
 def median_composite(obs: DataFrame, start: date, step: int, keys: list[str], bands: list[str], day: str = "day", keep: Column | None = None) -> DataFrame:
     """Median of each band per key and window; masked observations count as missing, not as absent.
 
@@ -60,6 +68,30 @@ def anchor_date(stats: DataFrame, day: str = "day") -> DataFrame:
     return near.agg(F.min_by(F.struct(*stats.columns), F.struct("cloud_pct", -F.col("valid_pct"), day)).alias("x")).select("x.*")
 
 
+def scout(obs: DataFrame, site: str, windows: list[tuple[date, date]], day: str = "day", pixel: str = "pixel_id", scl: str = "scl") -> DataFrame:
+    """(site, begins, day, coverage_pct, error) of each site and half-open window: its anchor date, or why there is none."""
+    spans = F.array(*[F.struct(F.lit(a).alias("begins"), F.lit(b).alias("ends")) for a, b in windows])
+    hit = F.filter(spans, lambda w: (F.col(day) >= w["begins"]) & (F.col(day) < w["ends"]))
+    rows = obs.select(site, day, pixel, spectral.scl_usable(F.col(scl)).alias("_ok"), F.explode(hit).alias("_w")).groupBy(site, F.col("_w.begins").alias("begins"), day, pixel).agg(F.bool_or("_ok").alias("_ok"))
+    per = rows.groupBy(site, "begins", day).agg(F.count(F.lit(1)).alias("_n"), F.count_if("_ok").alias("_v"))
+    sizes = obs.groupBy(site).agg(F.count_distinct(pixel).alias("_pixels"))
+    share = lambda n: F.col(n) * 100.0 / F.col("_pixels")
+    each = per.join(sizes, site).select(site, "begins", day, share("_n").alias("coverage_pct"), share("_v").alias("_valid"), (100 * (1 - F.col("_v") / F.col("_n"))).alias("_cloud"))
+    near = each.withColumn("_best", F.max("_valid").over(Window.partitionBy(site, "begins"))).where(F.col("_valid") >= F.col("_best") - 1.0)  # a row a date of the window
+    anchor = near.groupBy(site, "begins").agg(F.min_by(F.struct(day, "coverage_pct"), F.struct("_cloud", -F.col("_valid"), day)).alias("_a"))
+    every = sizes.select(site, F.explode(spans).alias("_w")).select(site, F.col("_w.begins").alias("begins"))
+    out = every.join(anchor, [site, "begins"], "left").select(site, "begins", f"_a.{day}", "_a.coverage_pct")
+    return out.withColumn("error", F.when(F.col(day).isNull(), "no scene in the window"))
+
+
+def single_composite(obs: DataFrame, keys: list[str], bands: list[str], offset: float, most: int = 40_000_000) -> DataFrame:
+    """Median of each band per key, less the offset; an error for more than ``most`` keys, which want tiles."""
+    out = obs.groupBy(*keys).agg(*[F.percentile(b, F.lit(0.5)).alias(b) for b in bands])
+    size = F.broadcast(obs.agg(F.approx_count_distinct(F.struct(*keys), 0.01).alias("_n")))  # one row
+    fits = F.when(F.col("_n") > most, F.raise_error(F.lit(f"more than {most} pixels in one composite"))).otherwise(0)
+    return out.join(size).select(*keys, *[(spectral.offset_clip(F.col(b), offset) + fits).alias(b) for b in bands])
+
+
 def greedy_dates(obs: DataFrame, n_dates: int, min_gain: float = 0.5, target: float = 99.0, day: str = "day", pixel: str = "pixel_id", scl: str = "scl") -> list:
     """Dates that add the most new usable pixels, one aggregation for each date chosen."""
     pixels = obs.select(pixel).distinct().count()

@@ -132,3 +132,12 @@ def centred(frame: DataFrame, group: str, x: str) -> DataFrame:
     """Value minus its group's median."""
     mid = frame.groupBy(group).agg(F.percentile(F.col(x).cast("double"), F.lit(0.5)).alias("_m"))
     return frame.join(mid, group).withColumn("centred", F.col(x) - F.col("_m")).drop("_m")
+
+
+def field_flips(base: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """(change, n, acres) of fields of (key, crop, acres) that are crop in both runs, became or stopped being crop; a field that a run lacks isn't crop there."""
+    side = lambda df, n: df.where(F.col(key) > 0).groupBy(key).agg(F.bool_or("crop").alias(f"_{n}"), F.sum("acres").alias(f"_a{n}"))
+    both = side(base, "old").join(side(new, "new"), key, "full").na.fill(False, ["_old", "_new"])
+    change = F.when(F.col("_old") & F.col("_new"), "kept").when(F.col("_new"), "gained").when(F.col("_old"), "lost")
+    rows = both.select(change.alias("change"), F.when(F.col("_new"), F.col("_anew")).otherwise(F.col("_aold")).alias("acres"))
+    return rows.where("change is not null").groupBy("change").agg(F.count(F.lit(1)).alias("n"), F.sum("acres").alias("acres"))

@@ -58,10 +58,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # Sources and sinks
 
 
-@query("sc1_item_search", "SELECT item_id, cloud FROM items WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-12' AND cloud < 40", ("items",))
+@query("sc1_item_search", "SELECT item_id, cloud FROM items WHERE baseline IS NOT NULL AND lon + 1 >= 64 AND lon <= 75.5 AND 25 + cloud / 10.0 >= 24.5 AND 24 + cloud / 10.0 <= 27.5 AND ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-12' AND cloud < 40", ("items",))
 def _(items):
-    """Items of a half-open time range under a cloud limit."""
-    return items.where((F.col("ts") >= F.lit("2024-01-05").cast("timestamp")) & (F.col("ts") < F.lit("2024-01-12").cast("timestamp")) & (F.col("cloud") < 40)).select("item_id", "cloud")
+    """Items of a collection whose footprint meets a box, in a half-open time range, under a cloud limit."""
+    foot = items.withColumns({"collection": F.when(F.col("baseline").isNull(), "l1c").otherwise("l2a"), "x0": F.col("lon"), "x1": F.col("lon") + 1, "y0": 24 + F.col("cloud") / 10, "y1": 25 + F.col("cloud") / 10})
+    return compose.search_items(foot, "l2a", (64, 24.5, 75.5, 27.5), "2024-01-05", "2024-01-12", 40).select("item_id", "cloud")
 
 
 @query("sc8_decimated_scan", "SELECT r, c, cls FROM grid WHERE r % 4 = 0 AND c % 4 = 0", ("grid",))
@@ -736,12 +737,6 @@ def _(grid, fields):
     return spatial.assign_pixels(px, fields, 16, "field_id").select("r", "c", "field_id")
 
 
-@query("jn9_run_flips", "SELECT coalesce(a.k, b.k) AS k, coalesce(a.crop, false) AS was, coalesce(b.crop, false) AS now FROM (SELECT k, max(CASE WHEN label = 1 THEN 1 ELSE 0 END) = 1 AS crop FROM px WHERE aoi = 'aoi_1' GROUP BY k) a FULL JOIN (SELECT k, max(CASE WHEN label = 1 THEN 1 ELSE 0 END) = 1 AS crop FROM px WHERE aoi = 'aoi_2' GROUP BY k) b ON a.k = b.k", ("px",))
-def _(px):
-    run = lambda aoi, n: px.where(F.col("aoi") == aoi).groupBy("k").agg(F.bool_or(crop()).alias(n))
-    return run("aoi_1", "was").join(run("aoi_2", "now"), "k", "full").select("k", F.coalesce("was", F.lit(False)).alias("was"), F.coalesce("now", F.lit(False)).alias("now"))
-
-
 @query("jn10_raster_algebra", "SELECT a.cls AS was, CASE WHEN (r * 31 + c * 7) % 5 = 0 THEN 1 ELSE a.cls END AS now, count(*) AS n FROM grid a GROUP BY 1, 2", ("grid",))
 def _(grid):
     after = grid.select("r", "c", F.when(F.expr("(r * 31 + c * 7) % 5 = 0"), 1).otherwise(F.col("cls")).alias("now"))

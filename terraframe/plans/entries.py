@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import functions as F
 
 from ..functions import dates, series, spectral
@@ -191,8 +193,8 @@ def _(scores):
 
 @query("ep1_single_composite", "SELECT pixel_id, greatest(quantile_cont(red, 0.5) - 1000, 0) AS red FROM obs WHERE cloud < 60 AND scl < 8 AND scl <> 3 GROUP BY pixel_id", ("obs",))
 def _(obs):
-    rows = obs.where((F.col("cloud") < 60) & spectral.scl_keep(F.col("scl")))
-    return rows.groupBy("pixel_id").agg(F.percentile("red", F.lit(0.5)).alias("m")).select("pixel_id", spectral.offset_clip(F.col("m"), 1000).alias("red"))
+    """One composite of the whole area, refused above a number of pixels."""
+    return compose.single_composite(obs.where((F.col("cloud") < 60) & spectral.scl_keep(F.col("scl"))), ["pixel_id"], ["red"], 1000)
 
 
 @query("ep9_layer_catalog", "SELECT date, concat('static_', date) AS folder, CAST(floor(count(*) OVER () / 2) + 1 AS BIGINT) AS need FROM (SELECT DISTINCT date FROM px) t", ("px",))
@@ -210,13 +212,19 @@ def _(px, items):
     return jobs.join(px.select("aoi").distinct(), "aoi", "left_semi").select("aoi", "date")
 
 
-@query("ep13_scout", _DATES + ", w AS (SELECT *, CAST(floor(date_diff('day', DATE '2024-01-01', day) / 8.0) AS INTEGER) AS win FROM q), b AS (SELECT *, max(valid_pct) OVER (PARTITION BY win) AS best FROM w), z AS (SELECT win, day, row_number() OVER (PARTITION BY win ORDER BY cloud_pct, valid_pct DESC, day) AS pos FROM b WHERE valid_pct >= best - 1.0) SELECT win, day FROM z WHERE pos = 1", ("obs",))
+_SCOUT = """, o AS (SELECT *, CAST(floor(pixel_id / 25) AS BIGINT) AS site FROM obs), w AS (SELECT * FROM (VALUES (DATE '2023-12-20'), (DATE '2024-01-01'), (DATE '2024-01-09'), (DATE '2024-01-17'), (DATE '2024-01-25')) t(begins)),
+z AS (SELECT site, count(DISTINCT pixel_id) AS pixels FROM o GROUP BY site), p AS (SELECT site, begins, day, pixel_id, max(CASE WHEN scl NOT IN (0, 1, 3, 8, 9, 10, 11) THEN 1 ELSE 0 END) AS ok FROM o JOIN w ON day >= begins AND day < begins + 8 GROUP BY ALL),
+d AS (SELECT p.site, begins, day, count(*) * 100.0 / max(pixels) AS coverage, sum(ok) * 100.0 / max(pixels) AS valid, 100 * (1 - sum(ok) / CAST(count(*) AS DOUBLE)) AS cloud FROM p JOIN z ON p.site = z.site GROUP BY p.site, begins, day),
+a AS (SELECT site, begins, day, coverage FROM (SELECT *, row_number() OVER (PARTITION BY site, begins ORDER BY cloud, valid DESC, day) AS pos FROM (SELECT *, max(valid) OVER (PARTITION BY site, begins) AS best FROM d) y WHERE valid >= best - 1.0) x WHERE pos = 1)
+SELECT z.site, w.begins, a.day, round(coverage, 5) AS coverage_pct, CASE WHEN a.day IS NULL THEN 'no scene in the window' END AS error FROM z CROSS JOIN w LEFT JOIN a ON z.site = a.site AND w.begins = a.begins"""
+
+
+@query("ep13_scout", _SCOUT, ("obs",))
 def _(obs):
-    """Anchor date of each window."""
-    q = _coverage(obs).withColumn("win", dates.window_index(F.col("day"), START, 8))
-    best = F.broadcast(q.groupBy("win").agg(F.max("valid_pct").alias("best")))  # one row a window
-    near = q.join(best, "win").where("valid_pct >= best - 1.0")
-    return near.groupBy("win").agg(F.min_by("day", F.struct("cloud_pct", -F.col("valid_pct"), "day")).alias("day"))
+    """Anchor date of each site and window; one without a scene is a row with the reason."""
+    begins = [date(2023, 12, 20), *[date(2024, 1, d) for d in (1, 9, 17, 25)]]
+    sites = obs.withColumn("site", F.floor(F.col("pixel_id") / 25).cast("bigint"))
+    return rounded(compose.scout(sites, "site", [(b, b + timedelta(8)) for b in begins]), "coverage_pct", n=5)
 
 
 @query("ep14_pilot_pairs", "SELECT aoi, max(CASE WHEN date LIKE '2025-08%' THEN date END) AS august, max(CASE WHEN date LIKE '2025-11%' THEN date END) AS november FROM px GROUP BY aoi", ("px",))

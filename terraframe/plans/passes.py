@@ -268,6 +268,18 @@ def _(grid, fields):
     return _pixels_of(grid, fields).join(blobs, ["r", "c"], "left").groupBy("field_id").agg(F.count(F.lit(1)).alias("pixels"), F.count_distinct("component").alias("pieces"))
 
 
+_FLIPS = _PID + """, m AS (SELECT p.field_id, count(*) AS n, avg(CASE WHEN g.cls = 1 THEN 1.0 ELSE 0.0 END) AS was, avg(CASE WHEN g.cls = 1 OR (g.r * 31 + g.c * 7) % 5 = 0 THEN 1.0 ELSE 0.0 END) AS now FROM pid p JOIN grid g ON p.r = g.r AND p.c = g.c WHERE p.field_id > 0 GROUP BY p.field_id),
+e AS (SELECT n, n >= 6 AND was >= 0.5 AS old, n >= 8 AND now >= 0.5 AS new FROM m) SELECT CASE WHEN old AND new THEN 'kept' WHEN new THEN 'gained' ELSE 'lost' END AS change, count(*) AS n, round(sum(n) * 100 / 4046.8564224, 5) AS acres FROM e WHERE old OR new GROUP BY 1"""
+
+
+@query("jn9_field_flips", _FLIPS, ("grid", "fields"))
+def _(grid, fields):
+    """Fields that changed hands between two maps; the second run has judged fewer of them."""
+    run = lambda hit, least: _pixels_of(grid.withColumn("cls", F.when(hit, 1).otherwise(0)), fields).groupBy("field_id").agg((F.avg("cls") >= 0.5).alias("crop"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).select("field_id", "crop", spectral.acres(F.col("n")).alias("acres"))
+    first, second = F.col("cls") == 1, (F.col("cls") == 1) | ((F.col("r") * 31 + F.col("c") * 7) % 5 == 0)
+    return rounded(stats.field_flips(run(first, 6), run(second, 8), "field_id"), "acres", n=5)
+
+
 _SURVEY = _PID + """, z AS (SELECT p.field_id, g.r, g.c, CASE WHEN g.cls = 1 THEN 1 ELSE 0 END AS crop, f.y1 - f.y0 > f.x1 - f.x0 AS tall FROM pid p JOIN grid g ON p.r = g.r AND p.c = g.c JOIN fields f ON p.field_id = f.field_id),
 w AS (SELECT field_id FROM z GROUP BY field_id HAVING count(*) >= 6 AND avg(crop) > 0.15 AND avg(crop) < 0.85), y AS (SELECT z.* FROM z JOIN w ON z.field_id = w.field_id),
 a AS (""" + " UNION ALL ".join(f"SELECT field_id, row_number() OVER o AS n1, sum(crop) OVER (o ROWS UNBOUNDED PRECEDING) AS k1, count(*) OVER (PARTITION BY field_id) AS n, sum(crop) OVER (PARTITION BY field_id) AS k FROM y WHERE {cond} WINDOW o AS (PARTITION BY field_id ORDER BY {by})" for cond, by in (("NOT tall", "c, r"), ("true", "r, c"), ("tall", "c DESC, r"))) + """),

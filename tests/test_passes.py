@@ -180,3 +180,20 @@ def test_labels_of_small_and_empty_fields(spark):
     narrow = {r["part"]: r["decision"] for r in labelling.label_fields(pixels, fields, 8.0, 10.0).where("field_id = 3").collect()}
     assert narrow == {0: "mixed, cut would leave a sliver"}
     assert labelling.label_fields(pixels.limit(0), fields, 5.0, 10.0).count() == 3
+
+
+def test_composites_too_large_for_one_image_are_refused(spark):
+    from terraframe.operators import compose
+
+    obs = spark.range(60).select((F.col("id") % 20).alias("p"), (1000 + F.col("id")).alias("red"))
+    assert compose.single_composite(obs, ["p"], ["red"], 1000, most=20).count() == 20
+    with pytest.raises(Exception, match="more than 10 pixels"):
+        compose.single_composite(obs, ["p"], ["red"], 1000, most=10).collect()
+
+
+def test_flips_of_fields_in_one_run_only(spark):
+    schema = "f int, crop boolean, acres double"
+    base = spark.createDataFrame([(1, True, 2.0), (2, True, 3.0), (3, False, 4.0), (4, True, 5.0), (0, True, 9.0)], schema)
+    new = spark.createDataFrame([(1, True, 1.5), (2, False, 3.0), (3, True, 4.5), (5, True, 6.0), (6, False, 7.0), (5, False, 0.5)], schema)
+    got = {r["change"]: (r["n"], r["acres"]) for r in stats.field_flips(base, new, "f").collect()}
+    assert got == {"kept": (1, 1.5), "lost": (2, 8.0), "gained": (2, 11.0)}
