@@ -18,6 +18,16 @@ def with_cells(boxes: DataFrame, size: float, x0: str = "x0", y0: str = "y0", x1
     return boxes.withColumn("gx", F.explode(F.sequence(cell(x0), cell(x1)))).withColumn("gy", F.explode(F.sequence(cell(y0), cell(y1))))
 
 
+def box_words(boxes: DataFrame, *keep: str) -> DataFrame:
+    """(keep, w, y, bits): the unit cells of half-open boxes of whole numbers, a row of cells in words of 64 columns; empty boxes have none."""
+    word = lambda x: F.shiftright(x.cast("bigint"), 6)
+    wide = boxes.where("x1 > x0 and y1 > y0").withColumn("w", F.explode(F.sequence(word(F.col("x0")), word(F.col("x1") - 1))))
+    cells = wide.withColumn("y", F.explode(F.sequence("y0", F.col("y1") - 1)))
+    low, high = "greatest(x0 - w * 64, 0)", "least(x1 - w * 64, 64)"
+    bits = F.expr(f"shiftleft(shiftrightunsigned(-1L, cast(64 - {high} + {low} AS int)), cast({low} AS int))")
+    return cells.select(*keep, "w", "y", bits.alias("bits"))
+
+
 def box_join(left: DataFrame, right: DataFrame, size: float, keys: tuple[str, str], touching: bool = False) -> DataFrame:
     """Pairs of boxes whose interiors meet (``touching``: or that share a border), each once: an equi-join on cells, then the exact test.
 

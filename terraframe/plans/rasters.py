@@ -65,10 +65,16 @@ def _(fields):
 
 @query("jn7_carved_area", ", e AS (SELECT field_id, unnest(range(x0, x1)) AS x, y0, y1 FROM fields), u AS (SELECT field_id, x, unnest(range(y0, y1)) AS y FROM e) SELECT field_id, count(*) AS area FROM u WHERE NOT EXISTS (SELECT 1 FROM fields n WHERE u.x >= n.x0 + 4 AND u.x < n.x0 + 8 AND u.y >= n.y0 + 2 AND u.y < n.y0 + 9) GROUP BY field_id", ("fields",))
 def _(fields):
-    """Difference of two layers: the area of every box of one that no box of the other covers."""
-    unit = lambda layer: layer.select("field_id", "y0", "y1", F.explode(F.sequence("x0", F.col("x1") - 1)).alias("x")).select("field_id", "x", F.explode(F.sequence("y0", F.col("y1") - 1)).alias("y"))
-    cut = fields.select("field_id", (F.col("x0") + 4).alias("x0"), (F.col("y0") + 2).alias("y0"), (F.col("x0") + 8).alias("x1"), (F.col("y0") + 9).alias("y1"))
-    return unit(fields).join(unit(cut).select("x", "y").distinct(), ["x", "y"], "left_anti").groupBy("field_id").agg(F.count(F.lit(1)).alias("area"))
+    """Difference of two layers: the area of every box of one that no box of the other covers; boxes without a rest go.
+
+    Rows of 64 cells are met with the other layer's, whose boxes are one word for each such row. The join
+    is sorted: a layer's estimated size does not know how many cells its boxes have.
+    """
+    cut = fields.select((F.col("x0") + 4).alias("x0"), (F.col("y0") + 2).alias("y0"), (F.col("x0") + 8).alias("x1"), (F.col("y0") + 9).alias("y1"))
+    covered = spatial.box_words(cut).groupBy("w", "y").agg(F.bit_or("bits").alias("cut"))
+    rest = F.bit_count(F.col("bits").bitwiseAND(F.bitwise_not(F.coalesce("cut", F.lit(0).cast("bigint")))))
+    met = spatial.box_words(fields, "field_id").join(covered.hint("merge"), ["w", "y"], "left")
+    return met.groupBy("field_id").agg(F.sum(rest).alias("area")).where("area > 0")
 
 
 @query("jn2_any_touch", "SELECT f.field_id, count(*) AS touched, CAST(sum(CASE WHEN g.c * 4 >= f.x0 AND g.c * 4 + 4 <= f.x1 AND g.r * 2 >= f.y0 AND g.r * 2 + 2 <= f.y1 THEN 0 ELSE 1 END) AS BIGINT) AS boundary FROM grid g JOIN fields f ON g.c * 4 < f.x1 AND g.c * 4 + 4 > f.x0 AND g.r * 2 < f.y1 AND g.r * 2 + 2 > f.y0 GROUP BY f.field_id", ("grid", "fields"))

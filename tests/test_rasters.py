@@ -3,12 +3,13 @@
 import math
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from terraframe.functions import series
 from terraframe.operators import evaluate, spatial
-from terraframe.plans import rasters
+from terraframe.plans import catalog, rasters
 from terraframe.sources import blocks, sinks
 
 
@@ -51,6 +52,34 @@ def test_blocks_round_trip(spark, tmp_path):
     assert read((1, 9), (0, 8)) == set()
 
 
+def test_box_words(spark):
+    rng = random.Random(4)
+    boxes = [(i, x, y, x + rng.choice([0, 1, 9, 64, 128, 200]), y + rng.randrange(4)) for i, (x, y) in enumerate((rng.randrange(-130, 130), rng.randrange(-3, 3)) for _ in range(60))]
+    boxes += [(60, 0, 0, 64, 1), (61, 64, 5, 60, 6), (62, None, 0, 5, 5), (63, 0, 0, None, 5)]
+    got: dict = {}
+    for k, w, y, bits in spatial.box_words(spark.createDataFrame(boxes, "k int, x0 long, y0 long, x1 long, y1 long"), "k").collect():
+        got.setdefault(k, []).extend((w * 64 + b, y) for b in range(64) if bits >> b & 1)
+    expected = {k: sorted((x, y) for x in range(x0, x1) for y in range(y0, y1)) for k, x0, y0, x1, y1 in boxes if None not in (x0, x1)}
+    assert {k: sorted(v) for k, v in got.items()} == {k: v for k, v in expected.items() if v}
+
+
+@pytest.mark.parametrize("name", ["jn7_carved_area"])
+def test_cells_are_not_broadcast(spark, name):
+    """Estimated sizes are those of boxes, far below those of their cells."""
+    found = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_carving_of_odd_boxes(spark, tmp_path):
+    """Repeated, negative and null keys; a null nation leaves no box but still cuts."""
+    rows = [(k, k % 25) for k in (0, 0, 1, 39, 40, 41, 6, 46)] + [(-1, 4), (-40, 3), (None, 2), (7, None), (80, None)]
+    spark.createDataFrame(rows, "c_custkey long, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
+    got = {tuple(r) for r in catalog.QUERIES["jn7_carved_area"](spark, str(tmp_path)).select("field_id", "area").collect()}
+    con = duckdb.connect()
+    con.execute(f"create view customer as select * from read_parquet('{tmp_path}/customer.parquet/*.parquet')")
+    assert got == set(con.execute(catalog.ORACLES["jn7_carved_area"]).fetchall()) and len(got) == 9
+
+
 def test_running_totals(spark):
     rng = random.Random(9)
     rows = [(k / 97, rng.randrange(4), rng.randrange(4)) for k in range(97)]
