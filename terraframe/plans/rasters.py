@@ -34,13 +34,13 @@ def _(grid):
 
 @query("sk4_label_and_probability", "SELECT r, c, CAST(CASE WHEN v % 100 >= 50 THEN 1 ELSE 4 END AS INTEGER) AS cls, (v % 100) / 100.0 AS prob FROM grid WHERE cls <> 255", ("grid",))
 def _(grid):
-    """Class and probability rasters of one pass, written as two block tables and joined cell by cell."""
+    """Class and probability rasters of one pass, written as two block tables and joined tile by tile."""
     spark, scored = grid.sparkSession, grid.where("cls <> 255").select("r", "c", ((F.col("v") % 100) / 100).alias("prob"))
-    paths = [sinks.shared_folder(spark, n) for n in ("label", "probability")]
-    blocks.write_blocks(scored.select("r", "c", F.when(F.col("prob") >= 0.5, 1).otherwise(4).alias("cls")), paths[0], "cls", "uint8", 64)
-    blocks.write_blocks(scored, paths[1], "prob", "float32", 64)
-    read = [blocks.read_window(spark, p, (0, 1 << 40), (0, 1 << 40), 64).withColumnRenamed("v", n) for p, n in zip(paths, ("cls", "prob"))]
-    return rounded(read[0].join(read[1], ["r", "c"]).select("r", "c", F.col("cls").cast("int").alias("cls"), "prob"), "prob")
+    paths = {n: sinks.shared_folder(spark, n) for n in ("cls", "prob")}
+    blocks.write_blocks(scored.select("r", "c", F.when(F.col("prob") >= 0.5, 1).otherwise(4).alias("cls")), paths["cls"], "cls", "uint8", 64)
+    blocks.write_blocks(scored, paths["prob"], "prob", "float32", 64)
+    both = blocks.read_layers(spark, paths, (0, 1 << 40), (0, 1 << 40), 64)
+    return rounded(both.select("r", "c", F.col("cls").cast("int").alias("cls"), "prob"), "prob")
 
 
 # Overlays

@@ -31,19 +31,37 @@ def write_blocks(cells: DataFrame, path: str, value: str, kind: str = "uint16",
     packed.sortWithinPartitions("tr", "tc").write.parquet(path)
 
 
-def read_window(spark: SparkSession, path: str, rows: tuple[int, int], cols: tuple[int, int], side: int = SIDE) -> DataFrame:
-    """(r, c, v) of the cells in half-open ranges of rows and columns; only tiles that the window meets are read."""
+def _met(spark: SparkSession, path: str, rows: tuple[int, int], cols: tuple[int, int], side: int) -> DataFrame:
+    """The tiles that a window meets."""
     met = [F.col(t).between(a // side, (b - 1) // side) for t, (a, b) in (("tr", rows), ("tc", cols))]
+    return spark.read.parquet(path).where(met[0] & met[1])
+
+
+def read_layers(spark: SparkSession, paths: dict[str, str], rows: tuple[int, int], cols: tuple[int, int], side: int = SIDE) -> DataFrame:
+    """(r, c, a column for each name) of the cells of a window that all of several block tables of one side hold.
+
+    Packed tiles are joined and then unpacked. The join is sorted: the size of a packed file does not tell that of its cells.
+    """
+    names = list(paths)
+    tiles = None
+    for i, path in enumerate(paths.values()):
+        layer = _met(spark, path, rows, cols, side).select("tr", "tc", "side", F.col("kind").alias(f"kind{i}"), F.col("data").alias(f"data{i}"))
+        tiles = layer if tiles is None else tiles.join(layer.hint("merge"), ["tr", "tc", "side"])
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for tr, tc, kind, n, data in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                block = np.frombuffer(data, np.dtype(kind).newbyteorder("<")).reshape(n, n)
-                keep = ~np.isnan(block) if kind == "float32" else block != KINDS[kind]
+            for k in range(batch.num_rows):
+                tr, tc, n, *packed = (batch.column(i)[k].as_py() for i in range(batch.num_columns))
+                layers = [(kind, np.frombuffer(data, np.dtype(kind).newbyteorder("<")).reshape(n, n)) for kind, data in zip(packed[::2], packed[1::2])]
+                keep = np.logical_and.reduce([~np.isnan(block) if kind == "float32" else block != KINDS[kind] for kind, block in layers])
                 y, x = np.nonzero(keep)
                 inside = (y + tr * n >= rows[0]) & (y + tr * n < rows[1]) & (x + tc * n >= cols[0]) & (x + tc * n < cols[1])
                 y, x = y[inside], x[inside]
-                yield pa.RecordBatch.from_arrays([pa.array(y + tr * n), pa.array(x + tc * n), pa.array(block[y, x].astype(float))], ["r", "c", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(y + tr * n), pa.array(x + tc * n), *[pa.array(block[y, x].astype(float)) for _, block in layers]], ["r", "c", *names])
 
-    blocks = spark.read.parquet(path).where(met[0] & met[1]).select("tr", "tc", "kind", "side", "data")
-    return blocks.mapInArrow(unpack, "r bigint, c bigint, v double")
+    return tiles.mapInArrow(unpack, "r bigint, c bigint, " + ", ".join(f"`{n}` double" for n in names))
+
+
+def read_window(spark: SparkSession, path: str, rows: tuple[int, int], cols: tuple[int, int], side: int = SIDE) -> DataFrame:
+    """(r, c, v) of the cells in half-open ranges of rows and columns; only tiles that the window meets are read."""
+    return read_layers(spark, {"v": path}, rows, cols, side)

@@ -52,6 +52,18 @@ def test_blocks_round_trip(spark, tmp_path):
     assert read((1, 9), (0, 8)) == set()
 
 
+def test_layers_are_joined_by_tile(spark, tmp_path):
+    rng = random.Random(11)
+    one = {(rng.randrange(-20, 50), rng.randrange(40)): rng.randrange(200) for _ in range(600)}
+    two = {k: rng.random() for k in [*rng.sample(sorted(one), 300), (900, 900)]}
+    paths = {n: f"file://{tmp_path}/{n}" for n in "ab"}
+    blocks.write_blocks(spark.createDataFrame([(r, c, v) for (r, c), v in one.items()], "r long, c long, v long"), paths["a"], "v", "uint8", 8)
+    blocks.write_blocks(spark.createDataFrame([(r, c, v) for (r, c), v in two.items()], "r long, c long, v double"), paths["b"], "v", "float32", 8)
+    both = blocks.read_layers(spark, paths, (-13, 1000), (3, 1000), 8)
+    expected = {k: (one[k], pytest.approx(v, abs=1e-6)) for k, v in two.items() if k in one and k[0] >= -13 and k[1] >= 3}
+    assert {(x["r"], x["c"]): (x["a"], x["b"]) for x in both.collect()} == expected
+
+
 def test_box_words(spark):
     rng = random.Random(4)
     boxes = [(i, x, y, x + rng.choice([0, 1, 9, 64, 128, 200]), y + rng.randrange(4)) for i, (x, y) in enumerate((rng.randrange(-130, 130), rng.randrange(-3, 3)) for _ in range(60))]
@@ -63,9 +75,9 @@ def test_box_words(spark):
     assert {k: sorted(v) for k, v in got.items()} == {k: v for k, v in expected.items() if v}
 
 
-@pytest.mark.parametrize("name", ["jn7_carved_area"])
+@pytest.mark.parametrize("name", ["jn7_carved_area", "sk4_label_and_probability"])
 def test_cells_are_not_broadcast(spark, name):
-    """Estimated sizes are those of boxes, far below those of their cells."""
+    """Estimated sizes are those of boxes and packed files, far below those of their cells."""
     found = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")
     assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
 
