@@ -167,24 +167,28 @@ def solve_rates(rows: DataFrame, targets: list[float], total: float | None = Non
     def moved(rate: Column, pull: Column, length: float) -> Column:
         return F.least(F.lit(most), F.greatest(F.lit(0.0), rate * F.lit(1 - length * ridge) - F.lit(length) * pull + F.lit(length * ridge)))
 
-    rate, before, pull = F.col("rate"), F.col("rate"), F.lit(0.0)
+    # Each step is a column of its own, so that an expression names the one before instead of holding it many times over.
+    now, pull = base, F.lit(0.0)
+    rate, before = F.col("rate"), F.col("_before")
     for i in range(steps):
-        probe = F.lit(0.0) if i == 0 else moved(before, pull, 1.0) - before
-        move = rate - before
-        got = base.agg(F.sum(n * probe * probe).alias("g"), F.sum(n * move * move).alias("m"), *[F.sum(n * p[d] * rate).alias(f"a{d}") for d in range(k)]).first()
+        if i == 0:
+            now = now.withColumn("_before", rate)
+        now = now.withColumn("_probe", F.lit(0.0) if i == 0 else moved(before, pull, 1.0) - before).withColumn("_move", rate - before)
+        got = now.agg(F.sum(n * F.col("_probe") * F.col("_probe")).alias("g"), F.sum(n * F.col("_move") * F.col("_move")).alias("m"), *[F.sum(n * p[d] * rate).alias(f"a{d}") for d in range(k)]).first()
+        now = now.drop("_probe", "_move")
         reached = [float(got[f"a{d}"]) for d in range(k)]
         residual = [reached[d] / all_tokens - goal[d] for d in range(k)]
         if i:
             if math.sqrt(float(got["g"]) / all_tokens) <= tolerance:
-                return base.withColumn("rate", rate), wanted, reached
+                return now.drop("_before"), wanted, reached
             length = float(got["m"]) / all_tokens
             bent = sum(w * (x - y) ** 2 for w, x, y in zip(weight, residual, last)) + ridge * length
             step = min(1 / ridge, max(1 / (top + ridge), length / bent)) if bent > 0 else 1 / (top + ridge)
         last = residual
         pull = sum((p[d] * F.lit(weight[d] * residual[d]) for d in range(k)), F.lit(0.0))
         if i % STEPS_A_WRITE == STEPS_A_WRITE - 1:
-            base, rate = materialize(base.withColumn("rate", rate), "rates"), F.col("rate")
-        before, rate = rate, moved(rate, pull, step)
+            now = materialize(now.drop("_before"), "rates")
+        now = now.withColumn("_before", rate).withColumn("rate", moved(before, pull, step))
     raise RuntimeError(f"rates did not settle in {steps} steps")
 
 

@@ -513,6 +513,25 @@ def test_mixing_says_when_it_does_not_settle(spark):
         mixing.solve_rates(rows, [0.9, 0.1], steps=2)
 
 
+def test_rate_steps_have_small_plans(spark, monkeypatch):
+    """A step names the one before: with all of them spelt out, plans of 16,000 characters filled the driver's memory."""
+    rng, sizes = random.Random(2), []
+    rows = [(k, rng.randrange(1, 500), [x := rng.random(), (1 - x) * (y := rng.random()), (1 - x) * (1 - y)]) for k in range(300)]
+    frame = spark.createDataFrame(rows, "k int, n_tokens long, p array<double>")
+    agg = type(frame).agg
+
+    def spy(self, *columns):
+        out = agg(self, *columns)
+        sizes.append(len(out._jdf.queryExecution().optimizedPlan().toString()))
+        return out
+
+    monkeypatch.setattr(type(frame), "agg", spy)
+    found, _, reached = mixing.solve_rates(frame, [0.9, 0.1, 0.0], most=1.0)
+    assert len(sizes) > mixing.STEPS_A_WRITE + 2 and max(sizes) < 5000
+    assert found.columns == [*frame.columns, "rate"]
+    assert reached == pytest.approx([sum(r["n_tokens"] * r["p"][d] * r["rate"] for r in found.collect()) for d in range(3)])
+
+
 # 9
 
 
